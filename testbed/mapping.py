@@ -1,7 +1,7 @@
 """The given tables as card transactions, customers and watchlist entries.
 
-The SQL runs unchanged in Spark and in the engine that checks the results;
-`{events}` and the like stand for the tables. Every row of a table is used:
+The expressions run unchanged in Spark and in the engine that checks the
+results. Every row of a table is used:
 each event is a transaction, each customer a customer record and each supplier
 a watchlist entry for the card of the same number. Some transactions lack a
 customer or have a negative amount, some customers lack an id, and watchlist
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardinel.schemas import CUSTOMER, TRANSACTION, WATCHLIST
+from cardinel.schemas import TRANSACTION
 
 SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
@@ -24,79 +24,75 @@ SCHEMAS = {
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
 }
 
-TRANSACTIONS_SQL = """
-select concat('T', lpad(cast(event_id as string), 10, '0')) as transaction_id,
-       case when event_id % 97 = 0 then null
-            else concat('C', lpad(cast(user_id as string), 8, '0')) end as customer_id,
-       concat('4', lpad(cast(user_id as string), 15, '0')) as card_number,
-       concat('M', cast(event_id % 50 as string)) as merchant_id,
-       concat('Merchant ', cast(event_id % 50 as string)) as merchant_name,
-       event_type as merchant_category,
-       case when event_id % 89 = 0 then -value else value end as amount,
-       'USD' as currency,
-       case when event_id % 2 = 0 then 'PURCHASE' else 'WITHDRAWAL' end as transaction_type,
-       case event_id % 3 when 0 then 'POS' when 1 then 'ONLINE' else 'ATM' end
-         as payment_channel,
-       concat('D', cast(event_id % 20 as string)) as device_id,
-       concat('CITY_', cast(event_id % 25 as string)) as city,
-       concat('NATION_', cast(event_id % 5 as string)) as country,
-       ts as transaction_timestamp,
-       case when event_id % 101 = 0 then null else event_id % 10 = 0 end as is_international,
-       'APPROVED' as status
-from {events}
-"""
-
-CUSTOMERS_SQL = """
-select case when c_acctbal < 0 then null
-            else concat('C', lpad(cast(c_custkey as string), 8, '0')) end as customer_id,
-       'Customer' as first_name,
-       lpad(cast(c_custkey as string), 9, '0') as last_name,
-       case when c_custkey % 2 = 0 then 'F' else 'M' end as gender,
-       cast(18 + c_custkey % 60 as int) as age,
-       concat('CITY_', cast(c_nationkey as string)) as city,
-       concat('STATE_', cast(n_regionkey as string)) as state,
-       n_name as country,
-       c_acctbal * 12 as annual_income,
-       c_mktsegment as customer_segment,
-       case when c_nationkey = 3 then 'unknown'
-            else concat('2020-', lpad(cast(c_custkey % 12 + 1 as string), 2, '0'), '-',
-                        lpad(cast(c_custkey % 28 + 1 as string), 2, '0')) end
-         as account_open_date,
-       cast(c_custkey % 100 as double) as risk_score,
-       cast(1 as double) as preferred_spending_min,
-       cast(100 as double) as preferred_spending_max,
-       concat('CITY_', cast(c_custkey % 25 as string)) as preferred_city,
-       n_name as preferred_country,
-       concat('D', cast(c_custkey % 20 as string)) as trusted_device_id,
-       concat('4', lpad(cast(c_custkey as string), 15, '0')) as card_number,
-       case when c_custkey % 2 = 0 then 'DEBIT' else 'CREDIT' end as card_type,
-       case when c_mktsegment = 'FURNITURE' then null
-            else concat('c', cast(c_custkey as string), '@example.com') end as email,
-       c_acctbal / 20 as transaction_limit,
-       cast('2024-01-01 00:00:00' as timestamp) as update_timestamp
-from {customer} join {nation} on c_nationkey = n_nationkey
-"""
+TRANSACTIONS = {
+    "transaction_id": "concat('T', lpad(cast(event_id as string), 10, '0'))",
+    "customer_id": """case when event_id % 97 = 0 then null
+        else concat('C', lpad(cast(user_id as string), 8, '0')) end""",
+    "card_number": "concat('4', lpad(cast(user_id as string), 15, '0'))",
+    "merchant_id": "concat('M', cast(event_id % 50 as string))",
+    "merchant_name": "concat('Merchant ', cast(event_id % 50 as string))",
+    "merchant_category": "event_type",
+    "amount": "case when event_id % 89 = 0 then -value else value end",
+    "currency": "'USD'",
+    "transaction_type": "case when event_id % 2 = 0 then 'PURCHASE' else 'WITHDRAWAL' end",
+    "payment_channel": "case event_id % 3 when 0 then 'POS' when 1 then 'ONLINE' else 'ATM' end",
+    "device_id": "concat('D', cast(event_id % 20 as string))",
+    "city": "concat('CITY_', cast(event_id % 25 as string))",
+    "country": "concat('NATION_', cast(event_id % 5 as string))",
+    "transaction_timestamp": "cast(ts as timestamp)",
+    "is_international": "case when event_id % 101 = 0 then null else event_id % 10 = 0 end",
+    "status": "'APPROVED'",
+}
 
-WATCHLIST_SQL = """
-select concat('wl', lpad(cast(s_suppkey as string), 6, '0')) as watchlist_id,
-       'CARD' as watch_type,
-       concat('4', lpad(cast(s_suppkey as string), 15, '0')) as entity_id,
-       'block' as action,
-       concat('CITY_', cast(s_nationkey as string)) as city,
-       concat('NATION_', cast(s_nationkey as string)) as country,
-       case when s_acctbal < 0 then 'unknown'
-            else concat(lpad(cast(s_suppkey % 28 + 1 as string), 2, '0'),
-                        '-Jan-2023 00:00:00') end as effective_from,
-       case s_suppkey % 3 when 0 then 'STOLEN' when 1 then 'CLONED' else 'LEAKED' end
-         as reason_code,
-       'reported by issuer' as reason_description,
-       'OPS' as reported_by,
-       'BANK' as reported_source,
-       case s_suppkey % 4 when 0 then 'critical' when 1 then 'high'
-            when 2 then 'medium' else 'low' end as risk_level,
-       'ACTIVE' as status
-from {supplier}
-"""
+CUSTOMERS = {
+    "customer_id": """case when c_acctbal < 0 then null
+        else concat('C', lpad(cast(c_custkey as string), 8, '0')) end""",
+    "first_name": "'Customer'",
+    "last_name": "lpad(cast(c_custkey as string), 9, '0')",
+    "gender": "case when c_custkey % 2 = 0 then 'F' else 'M' end",
+    "age": "cast(18 + c_custkey % 60 as int)",
+    "city": "concat('CITY_', cast(c_nationkey as string))",
+    "state": "concat('STATE_', cast(n_regionkey as string))",
+    "country": "n_name",
+    "annual_income": "c_acctbal * 12",
+    "customer_segment": "c_mktsegment",
+    "account_open_date": """case when c_nationkey = 3 then 'unknown'
+        else concat('2020-', lpad(cast(c_custkey % 12 + 1 as string), 2, '0'), '-',
+                    lpad(cast(c_custkey % 28 + 1 as string), 2, '0')) end""",
+    "risk_score": "cast(c_custkey % 100 as double)",
+    "preferred_spending_min": "cast(1 as double)",
+    "preferred_spending_max": "cast(100 as double)",
+    "preferred_city": "concat('CITY_', cast(c_custkey % 25 as string))",
+    "preferred_country": "n_name",
+    "trusted_device_id": "concat('D', cast(c_custkey % 20 as string))",
+    "card_number": "concat('4', lpad(cast(c_custkey as string), 15, '0'))",
+    "card_type": "case when c_custkey % 2 = 0 then 'DEBIT' else 'CREDIT' end",
+    "email": """case when c_mktsegment = 'FURNITURE' then null
+        else concat('c', cast(c_custkey as string), '@example.com') end""",
+    "transaction_limit": "c_acctbal / 20",
+    "update_timestamp": "cast('2024-01-01 00:00:00' as timestamp)",
+}
+HOME = "c_nationkey = n_nationkey"
+
+WATCHLIST_ENTRIES = {
+    "watchlist_id": "concat('wl', lpad(cast(s_suppkey as string), 6, '0'))",
+    "watch_type": "'CARD'",
+    "entity_id": "concat('4', lpad(cast(s_suppkey as string), 15, '0'))",
+    "action": "'block'",
+    "city": "concat('CITY_', cast(s_nationkey as string))",
+    "country": "concat('NATION_', cast(s_nationkey as string))",
+    "effective_from": """case when s_acctbal < 0 then 'unknown'
+        else concat(lpad(cast(s_suppkey % 28 + 1 as string), 2, '0'),
+                    '-Jan-2023 00:00:00') end""",
+    "reason_code": """case s_suppkey % 3 when 0 then 'STOLEN' when 1 then 'CLONED'
+        else 'LEAKED' end""",
+    "reason_description": "'reported by issuer'",
+    "reported_by": "'OPS'",
+    "reported_source": "'BANK'",
+    "risk_level": """case s_suppkey % 4 when 0 then 'critical' when 1 then 'high'
+        when 2 then 'medium' else 'low' end""",
+    "status": "'ACTIVE'",
+}
 
 
 def table(spark: SparkSession, folder: str, name: str, stream: bool = False) -> DataFrame:
@@ -109,24 +105,22 @@ def table(spark: SparkSession, folder: str, name: str, stream: bool = False) ->
 
 
 def transactions(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
-    mapped = spark.sql(TRANSACTIONS_SQL, events=table(spark, folder, "events", stream))
-    return _typed(mapped, TRANSACTION)
+    return table(spark, folder, "events", stream).selectExpr(*_aliased(TRANSACTIONS))
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
-    names = ("customer", "nation")
-    mapped = spark.sql(CUSTOMERS_SQL, **{name: table(spark, folder, name) for name in names})
-    return _typed(mapped, CUSTOMER)
+    nations = table(spark, folder, "nation")
+    joined = table(spark, folder, "customer").join(nations, F.expr(HOME))
+    return joined.selectExpr(*_aliased(CUSTOMERS))
 
 
 def watchlist(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
     """Entries as parsed from files: with nothing to rescue, and no file."""
-    mapped = spark.sql(WATCHLIST_SQL, supplier=table(spark, folder, "supplier", stream))
-    return _typed(mapped, WATCHLIST).select(
-        "*",
-        F.lit(None).cast("string").alias("_rescued_data"),
-        F.lit(None).cast("string").alias("file_path"),
-        F.current_timestamp().alias("ingestion_ts"),
+    return table(spark, folder, "supplier", stream).selectExpr(
+        *_aliased(WATCHLIST_ENTRIES),
+        "cast(null as string) as _rescued_data",
+        "cast(null as string) as file_path",
+        "current_timestamp() as ingestion_ts",
     )
 
 
@@ -148,5 +142,5 @@ def messages(spark: SparkSession, folder: str, stream: bool = False) -> DataFram
     )
 
 
-def _typed(df: DataFrame, schema) -> DataFrame:
-    return df.select(*[F.col(field.name).cast(field.dataType) for field in schema])
+def _aliased(columns: dict[str, str]) -> list[str]:
+    return [f"{expression} as {name}" for name, expression in columns.items()]

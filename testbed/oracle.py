@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import re
 
-from testbed.mapping import CUSTOMERS_SQL, TRANSACTIONS_SQL, WATCHLIST_SQL
+from testbed.mapping import CUSTOMERS, HOME, TRANSACTIONS, WATCHLIST_ENTRIES
+
+
+def _mapped(columns: dict[str, str], source: str) -> str:
+    selected = ", ".join(f"{expression} as {name}" for name, expression in columns.items())
+    return f"select {selected} from {source}"
 
-_GIVEN = {name: name for name in ("events", "customer", "nation", "supplier")}
 
 # Named steps; a query gets those it refers to, in this order.
 STEPS = {
-    "raw_transactions": TRANSACTIONS_SQL.format(**_GIVEN),
-    "raw_customers": CUSTOMERS_SQL.format(**_GIVEN),
-    "raw_watchlist": WATCHLIST_SQL.format(**_GIVEN),
+    "raw_transactions": _mapped(TRANSACTIONS, "events"),
+    "raw_customers": _mapped(CUSTOMERS, f"customer join nation on {HOME}"),
+    "raw_watchlist": _mapped(WATCHLIST_ENTRIES, "supplier"),
     "transactions": """
         select * from raw_transactions
         where transaction_id is not null and customer_id is not null
