@@ -6,9 +6,11 @@ that they give the same rows every time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardinel.session import work_folder
+
 # Rows kept by the top reports and the recent alerts, the unit of
 # the volume, and the labels of the two scopes.
 TOP = 10
@@ -18,6 +20,10 @@ INTERNATIONAL = "International"
 DOMESTIC = "Domestic"
 
 
+# Labels of the transaction reports that `transaction_overview` counts together.
+LABELS = ("merchant_category", "city", "payment_channel", "is_international")
+
+
 def txn_by_merchant(transactions: DataFrame) -> DataFrame:
     return _by(transactions, "merchant_category", "transaction_count").limit(TOP)
 
@@ -40,11 +46,10 @@ def fraud_by_risk(card_alerts: DataFrame) -> DataFrame:
 
 def intl_vs_domestic(transactions: DataFrame) -> DataFrame:
     """Counted by the flag itself: rows without one are a second 'Domestic' group."""
-    scope = F.when(F.col("is_international"), INTERNATIONAL).otherwise(DOMESTIC)
     counts = transactions.groupBy("is_international").agg(
         F.count(F.lit(1)).alias("transaction_count")
     )
-    return counts.select(scope.alias("transaction_scope"), "transaction_count")
+    return _scoped(counts)
 
 
 def txn_by_minute(tumbling_counts: DataFrame) -> DataFrame:
@@ -65,7 +70,7 @@ def limit_exceeded_count(limit_alerts: DataFrame) -> DataFrame:
 
 def total_volume(transactions: DataFrame) -> DataFrame:
     """Sum of the amounts in millions; NULL if there are none."""
-    return transactions.agg(F.round(F.sum("amount") / MILLION, 2).alias("total_volume_m"))
+    return transactions.agg(_millions(F.sum("amount")).alias("total_volume_m"))
 
 
 def recent_limit_alerts(limit_alerts: DataFrame) -> DataFrame:
@@ -110,13 +115,82 @@ def widget_totals(dataset: DataFrame) -> DataFrame:
     return dataset.groupBy(label).agg(F.sum(count).alias(f"sum_{count}"))
 
 
-def _by(df: DataFrame, label: str, count: str) -> DataFrame:
-    return (
-        df.groupBy(label)
-        .agg(F.count(F.lit(1)).alias(count))
-        .orderBy(F.desc(count), F.asc(label))
+def transaction_overview(transactions: DataFrame) -> DataFrame:
+    """The counts behind all transaction reports, and the volume, from one scan.
+
+    Each label is a grouping set of its own, so the result has as many rows as
+    there are labels, not as there are combinations of them.
+    """
+    sets = [[F.col(label)] for label in LABELS] + [[]]
+    return transactions.groupingSets(sets, *LABELS).agg(
+        F.grouping_id().alias("level"),
+        F.count(F.lit(1)).alias("transaction_count"),
+        F.sum("amount").alias("amount"),
     )
 
 
+def datasets(
+    transactions: DataFrame,
+    tumbling_counts: DataFrame,
+    limit_alerts: DataFrame,
+    card_alerts: DataFrame,
+) -> dict[str, DataFrame]:
+    """All datasets of the dashboard; the transactions are read once for all."""
+    overview = transaction_overview(transactions)
+    spark = transactions.sparkSession
+    folder = work_folder(spark, "overview")
+    overview.write.parquet(folder)
+    overview = spark.read.schema(overview.schema).parquet(folder)
+
+    def counts(label: str) -> DataFrame:
+        return _level(overview, [label]).select(label, "transaction_count")
+
+    total = _level(overview, [])
+    return {
+        "txn_by_merchant": _ranked(
+            counts("merchant_category"), "merchant_category", "transaction_count"
+        ).limit(TOP),
+        "txn_by_minute": txn_by_minute(tumbling_counts),
+        "fraud_card_alerts_count": fraud_card_alerts_count(card_alerts),
+        "fraud_by_reason": fraud_by_reason(card_alerts),
+        "intl_vs_domestic": _scoped(counts("is_international")),
+        "top_cities": _ranked(counts("city"), "city", "transaction_count").limit(TOP),
+        "fraud_by_risk": fraud_by_risk(card_alerts),
+        "limit_exceeded_count": limit_exceeded_count(limit_alerts),
+        "recent_limit_alerts": recent_limit_alerts(limit_alerts),
+        "recent_fraud_alerts": recent_fraud_alerts(card_alerts),
+        "total_transactions": total.select(
+            F.col("transaction_count").alias("total_transactions")
+        ),
+        "txn_by_channel": _ranked(
+            counts("payment_channel"), "payment_channel", "transaction_count"
+        ),
+        "total_volume": total.select(_millions(F.col("amount")).alias("total_volume_m")),
+    }
+
+
+def _level(overview: DataFrame, kept: list[str]) -> DataFrame:
+    """Rows of one grouping set: the grouping id has a bit for each absent label."""
+    bits = ["0" if label in kept else "1" for label in LABELS]
+    return overview.filter(F.col("level") == int("".join(bits), 2))
+
+
+def _by(df: DataFrame, label: str, count: str) -> DataFrame:
+    return _ranked(df.groupBy(label).agg(F.count(F.lit(1)).alias(count)), label, count)
+
+
+def _ranked(counts: DataFrame, label: str, count: str) -> DataFrame:
+    return counts.orderBy(F.desc(count), F.asc(label))
+
+
+def _scoped(counts: DataFrame) -> DataFrame:
+    scope = F.when(F.col("is_international"), INTERNATIONAL).otherwise(DOMESTIC)
+    return counts.select(scope.alias("transaction_scope"), "transaction_count")
+
+
+def _millions(amount: Column) -> Column:
+    return F.round(amount / MILLION, 2)
+
+
 def _latest(alerts: DataFrame) -> DataFrame:
     return alerts.orderBy(F.desc("alert_timestamp"), F.asc("alert_id")).limit(RECENT)

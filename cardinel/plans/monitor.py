@@ -14,7 +14,7 @@ adaptive execution can plan by the real sizes in every micro-batch.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -29,6 +29,7 @@ from cardinel.operators.quality import (
     expect_warn,
 )
 from cardinel.operators.windows import count_sliding, count_tumbling
+from cardinel.plans.dashboard import datasets
 from cardinel.plans.notifications import render_card_notifications, render_limit_notifications
 from cardinel.schemas import CUSTOMER
 from cardinel.session import prepare
@@ -75,6 +76,9 @@ class Monitor:
     outboxes and, if `own_layers`, the tables. `messages` gives the Kafka stream.
     Customer records are appended to `bronze.customers` by their own loader.
     `prefix` goes before every layer, to keep several jobs in one catalog apart.
+    `limits` bounds the micro-batches of every stream that reads files or tables
+    (`maxFilesPerTrigger`, `maxBytesPerTrigger`), so that a long backlog is worked
+    off in steps; the messages are bounded by their own source.
     """
 
     spark: SparkSession
@@ -85,6 +89,7 @@ class Monitor:
     own_layers: bool = False
     prefix: str = ""
     salts: int = STREAM_SALTS
+    limits: Mapping[str, str] = field(default_factory=dict)
 
     def set_up(self) -> None:
         """Create the layers and tables that are missing."""
@@ -132,6 +137,15 @@ class Monitor:
         queries = [self._start(table, trigger) for stage in self.stages() for table in stage]
         return queries + self._start_outboxes(trigger)
 
+    def dashboard(self) -> dict[str, DataFrame]:
+        """The dashboard's datasets by name, from the tables as they are now."""
+        return datasets(
+            self._snapshot(SILVER_TRANSACTIONS),
+            self._snapshot(TUMBLING_COUNTS),
+            self._snapshot(LIMIT_ALERTS),
+            self._snapshot(CARD_ALERTS),
+        )
+
     def table(self, name: str) -> str:
         """The name in the catalog."""
         return self.prefix + name
@@ -155,7 +169,9 @@ class Monitor:
                 StreamTable(
                     BRONZE_WATCHLIST,
                     "Watchlist entries as delivered",
-                    lambda: parse_watchlist(stream_json_lines(self.spark, self.watchlist_folder)),
+                    lambda: parse_watchlist(
+                        stream_json_lines(self.spark, self.watchlist_folder, **self.limits)
+                    ),
                     protected=True,
                 ),
             ],
@@ -231,7 +247,7 @@ class Monitor:
         )
 
     def _stream(self, table: str) -> DataFrame:
-        return self.spark.readStream.table(self.table(table))
+        return self.spark.readStream.options(**self.limits).table(self.table(table))
 
     def _snapshot(self, table: str) -> DataFrame:
         return self.spark.read.table(self.table(table))

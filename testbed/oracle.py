@@ -281,6 +281,7 @@ _SCOPE = """
 """
 
 _MERCHANTS = _counted("merchant_category", "transactions", "transaction_count", 10)
+_CITIES = _counted("city", "transactions", "transaction_count", 10)
 _CHANNELS = _counted("payment_channel", "transactions", "transaction_count")
 _REASONS = _counted("reason_code", "card_alerts", "alert_count")
 _RISKS = _counted("risk_level", "card_alerts", "alert_count")
@@ -383,7 +384,7 @@ QUERIES = {
     "fraud_card_alerts_count": "select count(*) as fraud_card_alerts from card_alerts",
     "fraud_by_reason": _REASONS,
     "intl_vs_domestic": _SCOPE,
-    "top_cities": _counted("city", "transactions", "transaction_count", 10),
+    "top_cities": _CITIES,
     "fraud_by_risk": _RISKS,
     "limit_exceeded_count": "select count(*) as limit_exceeded_alerts from limit_alerts",
     "recent_limit_alerts": """
@@ -408,6 +409,27 @@ QUERIES = {
     "widget_fraud_by_risk": _summed("risk_level", "alert_count", _RISKS),
     "widget_fraud_by_reason": _summed("reason_code", "alert_count", _REASONS),
     "widget_intl_vs_domestic": _summed("transaction_scope", "transaction_count", _SCOPE),
+    "dashboard_overview": """
+        select merchant_category, city, payment_channel, is_international,
+               cast(grouping(merchant_category, city, payment_channel, is_international)
+                    as bigint) as level,
+               count(*) as transaction_count, round(sum(amount), 2) as amount
+        from transactions
+        group by grouping sets ((merchant_category), (city), (payment_channel),
+                                (is_international), ())
+    """,
+    "dashboard_datasets": f"""
+        select 'txn_by_merchant' as dataset,
+               merchant_category || '|' || transaction_count as content from ({_MERCHANTS})
+        union all select 'intl_vs_domestic', transaction_scope || '|' || transaction_count
+          from ({_SCOPE})
+        union all select 'top_cities', city || '|' || transaction_count from ({_CITIES})
+        union all select 'txn_by_channel', payment_channel || '|' || transaction_count
+          from ({_CHANNELS})
+        union all select 'total_transactions', cast(count(*) as varchar) from transactions
+        union all select 'total_volume', cast(round(sum(amount) / 1000000, 2) as varchar)
+          from transactions
+    """,
     "monitor_run_once": """
         select 'bronze.transactions' as table_name, count(*) as row_count from raw_transactions
         union all select 'bronze.watchlist', count(*) from raw_watchlist

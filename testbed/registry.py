@@ -460,6 +460,35 @@ for _name, _table in {
     )
 
 
+@registered
+def dashboard_overview(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts behind all transaction reports at once."""
+    overview = dashboard.transaction_overview(silver_transactions_table(spark, folder))
+    return overview.withColumn("amount", F.round("amount", 2))
+
+
+@registered
+def dashboard_datasets(spark: SparkSession, folder: str) -> DataFrame:
+    """The transaction reports taken from the one scan, as text rows under their names."""
+    datasets = dashboard.datasets(
+        silver_transactions_table(spark, folder),
+        _tumbling(spark, folder),
+        limit_alerts_table(spark, folder),
+        card_alerts_table(spark, folder),
+    )
+    rows = [
+        df.select(
+            F.lit(name).alias("dataset"),
+            F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in df.columns])
+            .alias("content"),
+        )
+        for name, df in datasets.items()
+        if name in ("txn_by_merchant", "intl_vs_domestic", "top_cities", "txn_by_channel",
+                    "total_transactions", "total_volume")
+    ]
+    return reduce(DataFrame.unionAll, rows)
+
+
 # The whole job.
 
 
