@@ -1,12 +1,11 @@
 """Small hand-written inputs."""
 
 import datetime as dt
-import itertools
+import os
 
 from cardinel.schemas import CUSTOMER, TRANSACTION, WATCHLIST
 
 UTC = dt.timezone.utc
-_files = itertools.count()
 
 
 def at(text):
@@ -77,6 +76,7 @@ class Feed:
 
     def __init__(self, spark, folder, schema):
         self.spark, self.folder, self.schema = spark, str(folder), schema
+        os.makedirs(folder, exist_ok=True)
 
     def add(self, df):
         df.coalesce(1).write.mode("append").parquet(self.folder)

@@ -101,8 +101,6 @@ def test_matches_in_either_order_of_arrival(
     ]
     if not transactions_first:
         arrivals.reverse()
-    for folder in (feed.folder, listed.folder):
-        (tmp_path / folder).mkdir(exist_ok=True)
     counts = []
     for arrive in arrivals:
         arrive()
