@@ -68,6 +68,7 @@ def match_cards(
     watchlist: DataFrame,
     lateness: str = LATENESS,
     salts: int | None = None,
+    look_back: str | None = None,
 ) -> DataFrame:
     """Every pair of a transaction and a watchlist entry for its card.
 
@@ -80,6 +81,11 @@ def match_cards(
     spread over `salts` parts of each card, with a copy of the card's entries in
     each part. The result does not depend on `salts`, but a checkpoint does:
     keep the number for as long as the checkpoint lives.
+
+    Without `look_back` transactions stay in state for good, as any later entry
+    may name their card. With it ("90 days") an entry takes effect at most that
+    long after a transaction it matches, and older transactions leave the state.
+    Entries without an effective time then match nothing.
     """
     if salts is None:
         salts = STREAM_SALTS if transactions.isStreaming and watchlist.isStreaming else 1
@@ -90,6 +96,8 @@ def match_cards(
         seen = spread_over_salts(seen, salts)
         listed = copy_to_salts(listed, salts)
         on &= F.col("t.salt") == F.col("w.salt")
+    if look_back is not None:
+        on &= F.expr(f"w.effective_from <= t.transaction_timestamp + interval {look_back}")
     # Both event times stay in the result; were one left out, the optimizer
     # would remove it above the watermark and its late rows would get through.
     return (
@@ -131,8 +139,8 @@ def alert_matches(
     matches: DataFrame, customers: DataFrame, now: Column | None = None
 ) -> DataFrame:
     """Card matches with their customer; unknown customers have no e-mail."""
-    carried = [F.col(name) for name in matches.columns]
-    ids, rest = carried[:2], carried[2:]
+    ids = ["transaction_id", "customer_id"]
+    rest = [name for name in matches.columns if name not in ids]
     return matches.join(customers.select(*_CUSTOMER), "customer_id", "left").select(
         alert_id(CARD_PREFIX, "transaction_id", "watchlist_id").alias("alert_id"),
         F.lit(CARD_TYPE).alias("alert_type"),
@@ -152,7 +160,12 @@ def card_alerts(
     lateness: str = LATENESS,
     salts: int | None = None,
 ) -> DataFrame:
-    """One alert per transaction, watchlist entry of its card and customer record."""
+    """One alert per transaction, watchlist entry of its card and customer record.
+
+    With two streams and customers too large to broadcast, run `match_cards` and
+    `alert_matches` as two queries: the second one keeps no state and so gets
+    adaptive execution, which splits hot customers.
+    """
     matches = match_cards(transactions, watchlist, lateness, salts)
     return alert_matches(matches, customers, now)
 

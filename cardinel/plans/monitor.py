@@ -76,6 +76,7 @@ class Monitor:
     outboxes and, if `own_layers`, the tables. `messages` gives the Kafka stream.
     Customer records are appended to `bronze.customers` by their own loader.
     `prefix` goes before every layer, to keep several jobs in one catalog apart.
+    `look_back`, if given, bounds the state of the card match (see `match_cards`).
     `limits` bounds the micro-batches of every stream that reads files or tables
     (`maxFilesPerTrigger`, `maxBytesPerTrigger`), so that a long backlog is worked
     off in steps; the messages are bounded by their own source.
@@ -89,6 +90,7 @@ class Monitor:
     own_layers: bool = False
     prefix: str = ""
     salts: int = STREAM_SALTS
+    look_back: str | None = None
     limits: Mapping[str, str] = field(default_factory=dict)
 
     def set_up(self) -> None:
@@ -243,7 +245,10 @@ class Monitor:
             properties = table_properties(self.spark, self.table(CARD_MATCHES))
             salts = int(properties[SALTS_PROPERTY])
         return match_cards(
-            self._stream(SILVER_TRANSACTIONS), self._stream(SILVER_WATCHLIST), salts=salts
+            self._stream(SILVER_TRANSACTIONS),
+            self._stream(SILVER_WATCHLIST),
+            salts=salts,
+            look_back=self.look_back,
         )
 
     def _stream(self, table: str) -> DataFrame:

@@ -39,9 +39,20 @@ STATEFUL = {
 }
 
 
+# Shuffle partitions to begin with, for each core; adaptive execution merges them
+# to the advisory size. Enough for a shuffle of the largest tables to fit in memory
+# by parts, few enough for the driver to keep track of.
+PARTITIONS_PER_CORE = 4
+
+
 def prepare(spark: SparkSession, cluster: bool = False) -> SparkSession:
     """Put the required settings (and the cluster ones, if asked) on a session."""
-    for key, value in (REQUIRED | (CLUSTER if cluster else {})).items():
+    values = dict(REQUIRED)
+    if cluster:
+        initial = PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
+        values |= CLUSTER
+        values["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial)
+    for key, value in values.items():
         spark.conf.set(key, value)
     return spark
 

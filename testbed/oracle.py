@@ -295,6 +295,13 @@ QUERIES = {
                cast(ts as varchar) as "timestamp", 0 as "timestampType"
         from events
     """,
+    "kafka_batch_table": """
+        select transaction_id as "key", merchant_name as value, 'transactions' as topic,
+               cast(cast(substr(transaction_id, 2) as bigint) % 8 as int) as "partition",
+               cast(substr(transaction_id, 2) as bigint) as "offset",
+               cast(transaction_timestamp as varchar) as "timestamp", 0 as "timestampType"
+        from raw_transactions
+    """,
     "silver_transactions": f"select {_TRANSACTION_COLUMNS} from transactions",
     "silver_transactions_from_json": _FROM_KAFKA,
     "silver_transactions_stream": _FROM_KAFKA,

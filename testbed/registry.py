@@ -159,6 +159,17 @@ def kafka_envelope(spark: SparkSession, folder: str) -> DataFrame:
     return envelope(messages, stamped=False)
 
 
+@registered
+def kafka_batch_table(spark: SparkSession, folder: str) -> DataFrame:
+    """All messages there are, saved as a table and read as it stands."""
+    work = work_folder(spark, "batch_table")
+    layer = f"batch_{work.rsplit('-', 1)[1]}"
+    create_layers(spark, [layer], work)
+    envelope(mapping.messages(spark, folder), stamped=False).write.saveAsTable(f"{layer}.messages")
+    saved = spark.read.table(f"{layer}.messages")
+    return saved.withColumn("value", F.get_json_object("value", "$.merchant_name"))
+
+
 @registered
 def silver_transactions(spark: SparkSession, folder: str) -> DataFrame:
     return silver_transactions_table(spark, folder)

@@ -133,6 +133,36 @@ def test_backdated_entry_is_late_but_one_without_time_matches(spark, feed, liste
     assert state_rows(query) == 4
 
 
+def test_look_back_lets_old_transactions_leave_the_state(spark, feed, listed, tmp_path):
+    def step(time, entry, card="4111222233334444"):
+        feed.add(
+            transactions(spark, {"transaction_timestamp": at(time), "card_number": card})
+        )
+        listed.add(watchlist(spark, {"watchlist_id": entry, "effective_from": _text(time)}))
+        matches = match_cards(feed.stream(), listed.stream(), salts=2, look_back="2 days")
+        return run(matches, tmp_path)
+
+    queries = [
+        step("2024-01-01 00:00:00", "WL1"),
+        step("2024-01-02 00:00:00", "WL2", card="4999"),
+        step("2024-01-09 00:00:00", "WL3", card="4999"),
+        step("2024-01-09 01:00:00", "WL4", card="4999"),
+    ]
+    removed = sum(
+        operator.numRowsRemoved
+        for query in queries
+        for progress in query.recentProgress
+        for operator in progress.stateOperators
+    )
+    assert removed == 2
+    # WL1 to WL4 all name the first card; WL3 and WL4 come too late for its payment.
+    assert {row.watchlist_id for row in read(spark, tmp_path)} == {"WL1", "WL2"}
+
+
+def _text(time):
+    return at(time).strftime("%d-%b-%Y %H:%M:%S")
+
+
 def test_state_is_in_rocksdb(spark, feed, tmp_path):
     feed.add(paid(spark, "2024-01-01 00:00:10"))
     query = run(count_tumbling(feed.stream()), tmp_path)
