@@ -321,16 +321,16 @@ QUERIES = {
         select {_WATCHLIST_COLUMNS}, true as from_json_file from watchlist
     """,
     "rescued_watchlist": """
-        select 'WL' || s_suppkey as watchlist_id,
-               cast(null as double) as score,
-               '{' || concat_ws(',',
-                 '"score":"' || case when s_acctbal < 0 then 'overdrawn'
-                                     else cast(s_nationkey as varchar) end || '"',
-                 case when s_nationkey > 12 then '"note":"' || s_name || '"' end,
-                 case when s_nationkey > 18
-                      then '"nation":"{\\"key\\":' || s_nationkey || '}"' end)
-               || '}' as _rescued_data
-        from supplier
+        select watchlist_id, score,
+               case when rest <> '' then '{' || rest || '}' end as _rescued_data
+        from (select 'WL' || s_suppkey as watchlist_id,
+                     case when s_acctbal >= 0 then cast(s_nationkey as double) end as score,
+                     concat_ws(',',
+                       case when s_acctbal < 0 then '"score":"overdrawn"' end,
+                       case when s_nationkey > 12 then '"note":"' || s_name || '"' end,
+                       case when s_nationkey > 18
+                            then '"nation":"{\\"key\\":' || s_nationkey || '}"' end) as rest
+              from supplier)
     """,
     "inferred_schema": """
         select *, cast(null as varchar) as _rescued_data

@@ -234,18 +234,16 @@ def watchlist_json_stream(spark: SparkSession, folder: str) -> DataFrame:
 def rescued_watchlist(spark: SparkSession, folder: str) -> DataFrame:
     """Fields the schema lacks, and values of another type, kept as JSON text."""
     work = work_folder(spark, "rescued_watchlist")
+    parts = [
+        """'"watchlist_id":"WL' || s_suppkey || '"'""",
+        """'"score":' || case when s_acctbal < 0 then '"overdrawn"'
+                            else cast(s_nationkey as string) end""",
+        """case when s_nationkey > 12 then '"note":"' || s_name || '"' end""",
+        """case when s_nationkey > 18 then '"nation":{"key":' || s_nationkey || '}' end""",
+    ]
     suppliers = mapping.table(spark, folder, "supplier")
-    document = F.struct(
-        F.concat(F.lit("WL"), F.col("s_suppkey").cast("string")).alias("watchlist_id"),
-        F.when(F.col("s_acctbal") < 0, "overdrawn")
-        .otherwise(F.col("s_nationkey").cast("string"))
-        .alias("score"),
-        F.when(F.col("s_nationkey") > 12, F.col("s_name")).alias("note"),
-        F.when(F.col("s_nationkey") > 18, F.struct(F.col("s_nationkey").alias("key"))).alias(
-            "nation"
-        ),
-    )
-    suppliers.select(F.to_json(document)).write.text(f"{work}/landed")
+    document = suppliers.selectExpr(f"concat('{{', concat_ws(',', {', '.join(parts)}), '}}')")
+    document.write.text(f"{work}/landed")
     schema = T.StructType().add("watchlist_id", "string").add("score", "double")
     return parse_watchlist(read_json_lines(spark, f"{work}/landed"), schema).drop(
         "file_path", "ingestion_ts"
