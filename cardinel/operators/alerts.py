@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cardinel.functions import alert_id, full_name
 from cardinel.operators.skew import copy_to_salts, spread_over_salts
 from cardinel.operators.windows import EVENT_TIME, LATENESS
+from cardinel.session import stream_salts
 
 # Prefixes of the alert ids, and the alert types.
 LIMIT_PREFIX = "ALERT"
@@ -19,9 +20,6 @@ LIMIT_TYPE = "LIMIT_EXCEEDED_TRANSACTION"
 CARD_PREFIX = "FRAUD"
 CARD_TYPE = "FRAUD_WATCHLIST_MATCH"
 
-# Salts of a streaming card match, unless given (see `match_cards`).
-STREAM_SALTS = 16
-
 _CUSTOMER = ["customer_id", "email", "first_name", "last_name"]
 
 
@@ -79,8 +77,9 @@ def match_cards(
     arrival; a row older than the watermark of the two event times is dropped.
     As a stateful query gets no adaptive split of hot keys, its transactions are
     spread over `salts` parts of each card, with a copy of the card's entries in
-    each part. The result does not depend on `salts`, but a checkpoint does:
-    keep the number for as long as the checkpoint lives.
+    each part. The result does not depend on `salts`, but a checkpoint does: keep
+    the number for as long as the checkpoint lives. By default it follows the size
+    of the cluster (see `stream_salts`); a very long watchlist calls for fewer.
 
     Without `look_back` transactions stay in state for good, as any later entry
     may name their card. With it ("90 days") an entry takes effect at most that
@@ -88,7 +87,8 @@ def match_cards(
     Entries without an effective time then match nothing.
     """
     if salts is None:
-        salts = STREAM_SALTS if transactions.isStreaming and watchlist.isStreaming else 1
+        both = transactions.isStreaming and watchlist.isStreaming
+        salts = stream_salts(transactions.sparkSession) if both else 1
     seen = transactions.withWatermark(EVENT_TIME, lateness)
     listed = watchlist.withWatermark("effective_from", lateness)
     on = F.col("t.card_number") == F.col("w.entity_id")

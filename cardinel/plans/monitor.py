@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from cardinel.operators.alerts import STREAM_SALTS, alert_matches, limit_alerts, match_cards
+from cardinel.operators.alerts import alert_matches, limit_alerts, match_cards
 from cardinel.operators.cleaning import clean_customers, clean_watchlist, parse_transactions
 from cardinel.operators.quality import (
     CUSTOMER_DROP,
@@ -32,7 +32,7 @@ from cardinel.operators.windows import count_sliding, count_tumbling
 from cardinel.plans.dashboard import datasets
 from cardinel.plans.notifications import render_card_notifications, render_limit_notifications
 from cardinel.schemas import CUSTOMER
-from cardinel.session import prepare
+from cardinel.session import prepare, stream_salts
 from cardinel.sources import envelope, parse_watchlist, stream_json_lines
 from cardinel.streaming.outbox import attach_outbox
 from cardinel.streaming.runner import CATCH_UP, append_to_table, finish
@@ -76,7 +76,7 @@ class Monitor:
     outboxes and, if `own_layers`, the tables. `messages` gives the Kafka stream.
     Customer records are appended to `bronze.customers` by their own loader.
     `prefix` goes before every layer, to keep several jobs in one catalog apart.
-    `look_back`, if given, bounds the state of the card match (see `match_cards`).
+    `salts` and `look_back` are those of `match_cards`; the latter bounds its state.
     `limits` bounds the micro-batches of every stream that reads files or tables
     (`maxFilesPerTrigger`, `maxBytesPerTrigger`), so that a long backlog is worked
     off in steps; the messages are bounded by their own source.
@@ -89,7 +89,7 @@ class Monitor:
     notify: bool = True
     own_layers: bool = False
     prefix: str = ""
-    salts: int = STREAM_SALTS
+    salts: int | None = None
     look_back: str | None = None
     limits: Mapping[str, str] = field(default_factory=dict)
 
@@ -110,7 +110,9 @@ class Monitor:
         )
         for stage in self.stages():
             for table in stage:
-                extra = {SALTS_PROPERTY: str(self.salts)} if table.name == CARD_MATCHES else None
+                extra = {}
+                if table.name == CARD_MATCHES:
+                    extra[SALTS_PROPERTY] = str(self.salts or stream_salts(self.spark))
                 declare(
                     self.spark,
                     self.table(table.name),

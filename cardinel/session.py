@@ -88,6 +88,16 @@ def state_partitions(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
+def stream_salts(spark: SparkSession) -> int:
+    """Parts to spread each key of a stateful join over, by the size of the cluster.
+
+    With one part for every eight partitions, a key that holds a third of all rows
+    puts less than three times the mean load on the partitions it is spread over.
+    The other side's copies cost each partition an eighth of that side.
+    """
+    return max(8, state_partitions(spark) // 8)
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
