@@ -93,9 +93,10 @@ def stream_salts(spark: SparkSession) -> int:
 
     With one part for every eight partitions, a key that holds a third of all rows
     puts less than three times the mean load on the partitions it is spread over.
-    The other side's copies cost each partition an eighth of that side.
+    The other side's copies cost each partition an eighth of that side. On few
+    partitions, sixteen parts even out which partition gets how many of them.
     """
-    return max(8, state_partitions(spark) // 8)
+    return max(16, state_partitions(spark) // 8)
 
 
 def work_folder(spark: SparkSession, name: str) -> str:

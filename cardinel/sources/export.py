@@ -6,12 +6,12 @@ above it. With nothing landed, all entries are new.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardinel.functions import watchlist_number
 from cardinel.schemas import WATCHLIST
+from cardinel.sources.paths import read_if_present
 
 
 def read_watchlist_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -23,12 +23,8 @@ def read_landed(spark: SparkSession, folder: str) -> DataFrame:
     """Ids landed so far; none if the folder does not exist yet."""
     ids = WATCHLIST["watchlist_id"]
     schema = f"{ids.name} {ids.dataType.simpleString()}"
-    try:
-        return spark.read.schema(schema).json(folder)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    return spark.createDataFrame([], schema)
+    landed = read_if_present(lambda: spark.read.schema(schema).json(folder))
+    return spark.createDataFrame([], schema) if landed is None else landed
 
 
 def landed_mark(landed: DataFrame) -> DataFrame:

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardinel.schemas import WATCHLIST
+from cardinel.sources.paths import read_if_present
 
 
 def stream_json_lines(spark: SparkSession, folder: str, **options: str) -> DataFrame:
@@ -50,12 +50,9 @@ def infer_schema(
     Every later run gets the first run's types, so a stream does not change its
     columns because of new files; unknown fields go to `_rescued_data`.
     """
-    try:
-        kept = spark.read.text(location, wholetext=True).first()
-        return T.StructType.fromJson(json.loads(kept[0]))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    kept = read_if_present(lambda: spark.read.text(location, wholetext=True))
+    if kept is not None:
+        return T.StructType.fromJson(json.loads(kept.first()[0]))
     schema = spark.read.json(folder, samplingRatio=sampling_ratio).schema
     spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(location)
     return schema

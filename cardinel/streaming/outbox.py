@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from cardinel.sources.paths import read_if_present
 from cardinel.streaming.runner import CATCH_UP
 
 log = logging.getLogger(__name__)
@@ -37,7 +38,9 @@ def attach_outbox(
 ) -> StreamingQuery:
     """Start rendering a stream of alerts into an outbox.
 
-    If not enabled, batches are passed over, as if they had been delivered.
+    If not enabled, batches are passed over, as if they had been delivered. Folder
+    and checkpoint belong together: a new checkpoint counts its batches from zero
+    and would overwrite the old ones.
     """
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
@@ -57,7 +60,9 @@ def attach_outbox(
 
 
 def read_outbox(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(NOTIFICATION).parquet(folder)
+    """All notifications; none if no batch has been written yet."""
+    outbox = read_if_present(lambda: spark.read.schema(NOTIFICATION).parquet(folder))
+    return spark.createDataFrame([], NOTIFICATION) if outbox is None else outbox
 
 
 def outbox_stats(outbox: DataFrame) -> DataFrame:

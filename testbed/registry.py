@@ -485,15 +485,22 @@ def dashboard_datasets(spark: SparkSession, folder: str) -> DataFrame:
         limit_alerts_table(spark, folder),
         card_alerts_table(spark, folder),
     )
+    from_the_overview = (
+        "txn_by_merchant",
+        "intl_vs_domestic",
+        "top_cities",
+        "txn_by_channel",
+        "total_transactions",
+        "total_volume",
+    )
     rows = [
-        df.select(
+        datasets[name].select(
             F.lit(name).alias("dataset"),
-            F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in df.columns])
-            .alias("content"),
+            F.concat_ws("|", *[F.col(c).cast("string") for c in datasets[name].columns]).alias(
+                "content"
+            ),
         )
-        for name, df in datasets.items()
-        if name in ("txn_by_merchant", "intl_vs_domestic", "top_cities", "txn_by_channel",
-                    "total_transactions", "total_volume")
+        for name in from_the_overview
     ]
     return reduce(DataFrame.unionAll, rows)
 

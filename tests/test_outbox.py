@@ -116,6 +116,7 @@ def test_outbox_follows_the_stream(spark, tmp_path):
             attach_outbox(alerts, render_limit_notifications, folder, checkpoint, enabled)
         )
 
+    assert read_outbox(spark, folder).count() == 0
     feed.add(transactions(spark, {"transaction_id": "T1"}))
     run()
     feed.add(transactions(spark, {"transaction_id": "T2"}))

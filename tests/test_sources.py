@@ -146,7 +146,12 @@ def test_export_adds_only_what_is_new(spark, tmp_path):
 
 @pytest.mark.parametrize(
     "landed, mark",
-    [(["WL000003", "XX000009", "WLx", None, "9"], 3), (["XX1"], None), (["WL000000"], None), ([], None)],
+    [
+        (["WL000003", "XX000009", "WLx", None, "9"], 3),
+        (["XX1"], None),
+        (["WL000000"], None),
+        ([], None),
+    ],
 )
 def test_landed_mark(spark, landed, mark):
     ids = spark.createDataFrame([(i,) for i in landed], "watchlist_id string")
