@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,12 +28,13 @@ def count_sliding(
     """Count per overlapping window; each row falls in size / slide of them.
 
     A table is first counted per slide, so that only these counts, not the
-    rows, are copied into the overlapping windows; size must then be a multiple
-    of slide. A stream cannot do so: counting in two stages would drop a late
-    row from every window, although some of its windows are still open.
+    rows, are copied into the overlapping windows. That takes a size that is a
+    multiple of the slide. A stream cannot do so: counting in two stages would
+    drop a late row from every window, although some of its windows are still
+    open.
     """
     rows = transactions.withWatermark(EVENT_TIME, lateness)
-    if transactions.isStreaming:
+    if transactions.isStreaming or pd.Timedelta(size) % pd.Timedelta(slide):
         return _count(rows, F.window(EVENT_TIME, size, slide), F.count(F.lit(1)))
     slides = count_tumbling(transactions, slide, lateness)
     return _count(

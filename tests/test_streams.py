@@ -1,6 +1,8 @@
 """Watermarks, late rows and state, over several runs from one checkpoint."""
 
 import datetime as dt
+import random
+from collections import Counter
 
 import pytest
 
@@ -64,6 +66,25 @@ def test_row_on_an_edge_opens_the_next_window(spark):
     assert len(starts) == 5
 
 
+@pytest.mark.parametrize("size", [60, 90, 120, 300])
+def test_sliding_counts_equal_brute_force(spark, size):
+    draw = random.Random(size)
+    start = at("2024-01-01 00:00:00")
+    times = [start + dt.timedelta(seconds=draw.randrange(1200)) for _ in range(200)]
+    rows = transactions(spark, *[{"transaction_timestamp": time} for time in times])
+    got = {
+        row.window_start: row.transaction_count
+        for row in count_sliding(rows, f"{size} seconds", "1 minute").collect()
+    }
+    want = Counter()
+    for time in times:
+        for minute in range(-10, 21):
+            opened = start + dt.timedelta(minutes=minute)
+            if opened <= time < opened + dt.timedelta(seconds=size):
+                want[opened.replace(tzinfo=None)] += 1
+    assert got == want
+
+
 def test_late_row_still_counts_in_its_open_sliding_windows(spark, feed, tmp_path):
     """Watermark 00:05:10: the row at 00:02:30 misses the window that ended at 00:05."""
     feed.add(paid(spark, "2024-01-01 00:10:10"))
