@@ -28,12 +28,14 @@ CLUSTER = {
 }
 
 # For stateful streams: join and window state lives in RocksDB rather than on
-# the executors' heaps, with one store per partition of a join, and is
-# uploaded to the checkpoint as change logs.
+# the executors' heaps, within one memory bound for all stores of an executor,
+# with one store per partition of a join, and is uploaded to the checkpoint as
+# change logs.
 STATEFUL = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.join.stateFormatVersion": "3",
 }
