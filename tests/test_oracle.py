@@ -28,10 +28,12 @@ def rows(names, tuples):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from testbed import registry
 
+    assert set(registry.QUERIES) <= set(entry.oracle_sql())
 
-@pytest.mark.parametrize("name", entry.queries())
+
+@pytest.mark.parametrize("name", entry.oracle_sql())
 def test_query_matches_sql(spark, duck, name):
     result = entry.queries()[name](spark, FOLDER)
     got = rows(result.columns, [tuple(row) for row in result.collect()])
