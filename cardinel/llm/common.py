@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Python workers find this package where the driver found it."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -66,7 +69,7 @@ def prefix_sums(
     before = Window.partitionBy(*group).orderBy(bucket)
     sums = sums.select(
         row_key(*keys, F.col(bucket)).alias("_key"),
-        (F.sum("_sum").over(before) - F.col("_sum")).alias("_before"),
+        (F.sum("_sum").over(before) - F.col("_sum")).alias("_prior"),
     )
     inside = Window.partitionBy("_key").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -74,6 +77,6 @@ def prefix_sums(
     return (
         df.withColumn("_key", row_key(*keys, F.col(bucket)))
         .join(sums, "_key")
-        .withColumn(name, F.col("_before") + F.sum(value).over(inside) - F.col(value))
-        .drop("_key", "_before")
+        .withColumn(name, F.col("_prior") + F.sum(value).over(inside) - F.col(value))
+        .drop("_key", "_prior")
     )
