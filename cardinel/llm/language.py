@@ -115,7 +115,7 @@ def _fit(centroids: int, slack: float):
     return run
 
 
-def fit(docs: DataFrame, rows: int = 600, centroids: int = 4, slack: float = 0.5) -> Model | None:
+def fit(docs: DataFrame, rows: int = 600, centroids: int = 4, slack: float = 0.25) -> Model | None:
     """Learn from the `text` of about `rows` rows of each `lang`; None without any.
 
     A text is rejected if its similarity is below `slack` times the least that any

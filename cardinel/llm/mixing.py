@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardinel.llm.common import WORD, prefix_sums, saved
+from cardinel.llm.common import WORD, prefix_sums, row_key, saved
 
 MOST_EPOCHS = 3
 # Documents that one task sorts, on average.
@@ -92,3 +92,25 @@ def mix(docs: DataFrame, seed: int = 17) -> DataFrame:
     return summed.withColumn("taken", (F.col("size") * (epochs + picked)).cast("long")).drop(
         "_source", "_rows", "_order", "_bucket", "_before"
     )
+
+
+def mixed(docs: DataFrame, seed: int = 17) -> DataFrame:
+    """The mix itself: each document as often as the mix takes it, all columns kept.
+
+    Rows with one id, source and text are taken alike. Documents without words are left
+    out, as they count for nothing.
+    """
+    key = row_key(F.col("doc_id"), F.col("source"), F.xxhash64("text"))
+    text = F.col("text")
+    rows = docs.select(
+        "doc_id", "source", key.alias("_row"), word_count(text).alias("size"),
+        text_weight(text).alias("weight"),
+    )
+    one = rows.groupBy("doc_id", "source", "_row").agg(
+        F.sum("size").alias("size"), F.min("weight").alias("weight")
+    )
+    taken = mix(saved(one, "mixing-sizes"), seed).filter("taken > 0")
+    copies = taken.select("_row", F.expr("taken div size").cast("int").alias("_copies"))
+    joined = docs.withColumn("_row", key).join(saved(copies, "mixing-copies"), "_row")
+    repeated = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return repeated.select(*docs.columns)

@@ -14,12 +14,13 @@ from cardinel.llm import (
     lm,
     mixing,
     neardup,
+    oracle,
     quality,
     rules,
     sharding,
     substrings,
 )
-from cardinel.llm.common import table
+from cardinel.llm.common import saved, table
 
 SHARDS = 40
 
@@ -60,7 +61,7 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         mixing.word_count(text).alias("size"),
         mixing.text_weight(text).alias("weight"),
     )
-    return mixing.mix(mixing.saved(rows, "mixing-sizes")).select(
+    return mixing.mix(saved(rows, "mixing-sizes")).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
 
@@ -106,4 +107,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat_formatting": op10_chat_formatting,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = oracle.QUERIES

@@ -28,8 +28,9 @@ MEASURES: dict[str, tuple[bool, float]] = {
     "symbols_per_word": (False, 0.25),
     "marks_per_word": (False, 0.75),
     "capital_share": (False, 0.3),
-    "dup_line_share": (False, 0.3),
-    "repeat_share": (False, 0.2),
+    "dup_line_share": (False, 0.5),
+    "repeat_share": (False, 0.3),
+    "echo_share": (False, 0.2),
 }
 
 
@@ -63,6 +64,11 @@ def _repeated_words(words: Column) -> Column:
     return F.when(F.size(words) <= WINDOW, F.lit(0)).otherwise(let(windows, covered))
 
 
+def _echoes(words: Column) -> Column:
+    """Words equal to the word before."""
+    return F.size(F.filter(words, lambda w, i: F.coalesce(w == F.get(words, i - 1), F.lit(False))))
+
+
 def measured(docs: DataFrame) -> DataFrame:
     """Adds counts of words, symbols, repeated lines and windows, and the measures."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -71,7 +77,7 @@ def measured(docs: DataFrame) -> DataFrame:
         F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")
     ))
     counts = let(word_list(F.col("text")), lambda w: F.struct(
-        F.size(w).alias("n"), _repeated_words(w).alias("repeat")
+        F.size(w).alias("n"), _repeated_words(w).alias("repeat"), _echoes(w).alias("echo")
     ))
     rows = (
         docs.withColumn("_lines", line_counts)
@@ -92,6 +98,7 @@ def measured(docs: DataFrame) -> DataFrame:
         "capital_share": F.col("_capitals") / F.greatest(F.col("word_chars"), F.lit(1)),
         "dup_line_share": F.col("n_dup_lines") / F.greatest(F.col("_lines.n"), F.lit(1)),
         "repeat_share": F.col("n_repeat_words") / words,
+        "echo_share": F.col("_words.echo") / words,
     }
     measures = F.struct(*[value.alias(name) for name, value in values.items()])
     return rows.withColumn("measures", measures).drop("_lines", "_words", "_capitals", "_marks")

@@ -132,16 +132,17 @@ def find_splits(rows: DataFrame) -> DataFrame:
     return saved(found, "kd-splits")
 
 
-def assign(rows: DataFrame, shards: int) -> DataFrame:
-    """`shard` for measured rows, 0 to `shards` - 1, of nearly equal bytes.
+def assign(rows: DataFrame, shards: int) -> tuple[DataFrame, list[DataFrame]]:
+    """`shard` for measured rows, 0 to `shards` - 1, of nearly equal bytes; and the splits.
 
     Rows with equal metadata are divided by hash; equal rows stay together. Fewer rows
     than shards leave some shards empty.
     """
-    rows = saved(root(rows, shards), "kd-rows")
+    rows, levels = saved(root(rows, shards), "kd-rows"), []
     for _ in range(max(shards - 1, 0).bit_length()):
-        rows = saved(route(rows, find_splits(rows)), "kd-rows")
-    return rows.drop("_shards")
+        levels.append(find_splits(rows))
+        rows = saved(route(rows, levels[-1]), "kd-rows")
+    return rows.drop("_shards"), levels
 
 
 def shards_for(rows: DataFrame, target_bytes: int) -> int:
@@ -164,8 +165,8 @@ def shard(docs: DataFrame, shards: int) -> DataFrame:
 
     Null texts have no bytes; a row counts 16 bytes more than its text.
     """
-    rows = measured(docs.select("doc_id", "text", "lang", "source")).drop("text", "lang", "source")
-    return with_slots(assign(rows, shards)).select(
+    rows, _ = assign(_bare(docs), shards)
+    return with_slots(rows).select(
         "doc_id",
         "size",
         "text_crc32",
@@ -174,3 +175,26 @@ def shard(docs: DataFrame, shards: int) -> DataFrame:
         F.col("slot").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def _bare(docs: DataFrame) -> DataFrame:
+    return measured(docs.select("doc_id", "text", "lang", "source")).drop("text", "lang", "source")
+
+
+def with_shards(docs: DataFrame, shards: int) -> DataFrame:
+    """All rows with their `shard`; texts are not shuffled for it.
+
+    The tree is built from the metadata alone, and rows then pass through its splits.
+    Columns `shard`, `size` and `text_crc32` are replaced.
+    """
+    _, levels = assign(_bare(docs), shards)
+    kept = [c for c in docs.columns if c not in ("shard", "size", "text_crc32")]
+    rows = root(measured(docs.select(*kept)), shards)
+    for splits in levels:
+        rows = route(rows, splits)
+    return rows.select(*kept, "size", "text_crc32", F.col("shard").cast("int").alias("shard"))
+
+
+def write_shards(docs: DataFrame, shards: int, folder: str) -> None:
+    """Parquet files in a folder for each shard."""
+    with_shards(docs, shards).repartition("shard").write.partitionBy("shard").parquet(folder)
