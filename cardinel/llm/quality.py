@@ -184,8 +184,8 @@ def fit(
     docs: DataFrame,
     label: str = "quality",
     metadata: tuple[str, ...] = (),
-    rows: int = 3000,
-    rounds: int = 120,
+    rows: int = 1200,
+    rounds: int = 60,
 ) -> Model | None:
     """Learn from `text` and a 0/1 label of about `rows` rows of each label.
 
@@ -199,7 +199,7 @@ def fit(
     found = (
         sample.mapInArrow(_extract(len(metadata)), "label int, buckets binary, stats binary")
         .groupBy()
-        .applyInPandas(_fit(rounds, 0.02, 1e-4), "k int, data binary")
+        .applyInPandas(_fit(rounds, 0.04, 1e-4), "k int, data binary")
         .collect()
     )
     if not found:
@@ -270,7 +270,7 @@ def score_held_out(
     )
     metadata = ("n_chars",)
     own = labels.filter(crc(F.col("doc_id"), parts) != fold)
-    chosen = sample_per_label(own.select("doc_id", "quality"), "quality", 3000)
+    chosen = sample_per_label(own.select("doc_id", "quality"), "quality", 1200)
     # The sample is bounded, so that its ids can go to every scan.
     training = docs.filter(~F.col("held_out")).join(F.broadcast(chosen), "doc_id")
     model = fit(training, "quality", metadata)
