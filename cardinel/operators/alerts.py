@@ -6,13 +6,15 @@ two watchlist entries, gives two alerts per transaction.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardinel.functions import alert_id, full_name
 from cardinel.operators.skew import copy_to_salts, spread_over_salts
 from cardinel.operators.windows import EVENT_TIME, LATENESS
-from cardinel.session import stream_salts
+from cardinel.session import STATE_METADATA
 
 # Prefixes of the alert ids, and the alert types.
 LIMIT_PREFIX = "ALERT"
@@ -65,8 +67,8 @@ def match_cards(
     transactions: DataFrame,
     watchlist: DataFrame,
     lateness: str = LATENESS,
-    salts: int | None = None,
-    look_back: str | None = None,
+    salts: int = 1,
+    hot: Sequence[str] | None = None,
 ) -> DataFrame:
     """Every pair of a transaction and a watchlist entry for its card.
 
@@ -75,29 +77,21 @@ def match_cards(
 
     With two streams, both sides are kept as state and match in either order of
     arrival; a row older than the watermark of the two event times is dropped.
-    As a stateful query gets no adaptive split of hot keys, its transactions are
-    spread over `salts` parts of each card, with a copy of the card's entries in
-    each part. The result does not depend on `salts`, but a checkpoint does: keep
-    the number for as long as the checkpoint lives. By default it follows the size
-    of the cluster (see `stream_salts`); a very long watchlist calls for fewer.
-
-    Without `look_back` transactions stay in state for good, as any later entry
-    may name their card. With it ("90 days") an entry takes effect at most that
-    long after a transaction it matches, and older transactions leave the state.
-    Entries without an effective time then match nothing.
+    Transactions stay in state for good, as any later entry may name their card.
+    As a stateful query gets no adaptive split of hot keys, the transactions of the
+    `hot` cards (all cards, if None) are spread over `salts` parts, with a copy of the
+    card's entries in each part. The result does not depend on that, but a checkpoint
+    does: both go with the result as metadata, the runner keeps them with the
+    checkpoint, and it refuses to go on with others.
     """
-    if salts is None:
-        both = transactions.isStreaming and watchlist.isStreaming
-        salts = stream_salts(transactions.sparkSession) if both else 1
     seen = transactions.withWatermark(EVENT_TIME, lateness)
     listed = watchlist.withWatermark("effective_from", lateness)
     on = F.col("t.card_number") == F.col("w.entity_id")
     if salts > 1:
-        seen = spread_over_salts(seen, salts)
-        listed = copy_to_salts(listed, salts)
+        by = ["transaction_id", EVENT_TIME, "amount"]
+        seen = spread_over_salts(seen, "card_number", by, salts, hot)
+        listed = copy_to_salts(listed, "entity_id", salts, hot)
         on &= F.col("t.salt") == F.col("w.salt")
-    if look_back is not None:
-        on &= F.expr(f"w.effective_from <= t.transaction_timestamp + interval {look_back}")
     # Both event times stay in the result; were one left out, the optimizer
     # would remove it above the watermark and its late rows would get through.
     return (
@@ -120,7 +114,10 @@ def match_cards(
             "t.transaction_timestamp",
             "t.is_international",
             F.col("t.status").alias("transaction_status"),
-            "w.watchlist_id",
+            F.col("w.watchlist_id").alias(
+                "watchlist_id",
+                metadata={STATE_METADATA: {"salts": salts, "hot": None if hot is None else [*hot]}},
+            ),
             "w.watch_type",
             "w.risk_level",
             "w.action",
@@ -158,7 +155,7 @@ def card_alerts(
     customers: DataFrame,
     now: Column | None = None,
     lateness: str = LATENESS,
-    salts: int | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """One alert per transaction, watchlist entry of its card and customer record.
 

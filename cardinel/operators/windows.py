@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +33,7 @@ def count_sliding(
     open.
     """
     rows = transactions.withWatermark(EVENT_TIME, lateness)
-    if transactions.isStreaming or pd.Timedelta(size) % pd.Timedelta(slide):
+    if transactions.isStreaming or not _is_multiple(transactions, size, slide):
         return _count(rows, F.window(EVENT_TIME, size, slide), F.count(F.lit(1)))
     slides = count_tumbling(transactions, slide, lateness)
     return _count(
@@ -42,6 +41,16 @@ def count_sliding(
     )
 
 
+def _is_multiple(df: DataFrame, size: str, slide: str) -> bool:
+    """By Spark's own reading of the intervals."""
+    parts = [f"cast(timestamp '1970-01-01' + {_interval(text)} as double)" for text in (size, slide)]
+    return df.sparkSession.sql(f"select {parts[0]} % {parts[1]} = 0").first()[0]
+
+
+def _interval(text: str) -> str:
+    return text if text.strip().lower().startswith("interval") else f"interval {text}"
+
+
 def _count(df: DataFrame, window: Column, count: Column) -> DataFrame:
     return (
         df.groupBy(window.alias("window"))

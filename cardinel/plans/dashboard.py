@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardinel.session import work_folder
 
 # Rows kept by the top reports and the recent alerts, the unit of
 # the volume, and the labels of the two scopes.
@@ -135,12 +134,36 @@ def datasets(
     limit_alerts: DataFrame,
     card_alerts: DataFrame,
 ) -> dict[str, DataFrame]:
-    """All datasets of the dashboard; the transactions are read once for all."""
+    """All datasets of the dashboard, none of them computed yet.
+
+    The six transaction reports share one scan; `refresh` writes its few rows to a
+    folder, from which they can all be read.
+    """
+    return _datasets(
+        transaction_overview(transactions), tumbling_counts, limit_alerts, card_alerts
+    )
+
+
+def refresh(
+    transactions: DataFrame,
+    tumbling_counts: DataFrame,
+    limit_alerts: DataFrame,
+    card_alerts: DataFrame,
+    folder: str,
+) -> dict[str, DataFrame]:
+    """All datasets, with the transactions read now and once; replaces the folder."""
     overview = transaction_overview(transactions)
-    spark = transactions.sparkSession
-    folder = work_folder(spark, "overview")
-    overview.write.parquet(folder)
-    overview = spark.read.schema(overview.schema).parquet(folder)
+    overview.write.mode("overwrite").parquet(folder)
+    kept = transactions.sparkSession.read.schema(overview.schema).parquet(folder)
+    return _datasets(kept, tumbling_counts, limit_alerts, card_alerts)
+
+
+def _datasets(
+    overview: DataFrame,
+    tumbling_counts: DataFrame,
+    limit_alerts: DataFrame,
+    card_alerts: DataFrame,
+) -> dict[str, DataFrame]:
 
     def counts(label: str) -> DataFrame:
         return _level(overview, [label]).select(label, "transaction_count")

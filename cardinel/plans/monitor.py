@@ -7,8 +7,8 @@
                                                         └─► gold.fraud_card_alerts ─► outbox
 
 Card matching keeps state, so it is a query of its own that touches nothing but
-the two streams. Its customers are joined by a second, stateless query, which
-adaptive execution can plan by the real sizes in every micro-batch.
+the two streams. Limit alerts and card alerts join customers as they are when a
+micro-batch runs; adaptive execution plans these joins by the real sizes.
 """
 
 from __future__ import annotations
@@ -17,7 +17,9 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from cardinel.operators.alerts import alert_matches, limit_alerts, match_cards
 from cardinel.operators.cleaning import clean_customers, clean_watchlist, parse_transactions
@@ -29,16 +31,26 @@ from cardinel.operators.quality import (
     expect_warn,
 )
 from cardinel.operators.windows import count_sliding, count_tumbling
-from cardinel.plans.dashboard import datasets
+from cardinel.plans.dashboard import refresh
 from cardinel.plans.notifications import render_card_notifications, render_limit_notifications
-from cardinel.schemas import CUSTOMER
-from cardinel.session import prepare, stream_salts
-from cardinel.sources import envelope, parse_watchlist, stream_json_lines
+from cardinel.operators.skew import hot_keys
+from cardinel.schemas import CUSTOMER, WATCHLIST
+from cardinel.session import prepare
+from cardinel.sources import envelope, infer_schema, parse_watchlist, stream_json_lines
+from cardinel.streaming.batches import BATCH, append_batches
 from cardinel.streaming.outbox import attach_outbox
-from cardinel.streaming.runner import CATCH_UP, append_to_table, finish
-from cardinel.streaming.tables import LAYERS, create_layers, declare, table_properties
+from cardinel.streaming.progress import ProgressKeeper, kept_counts, read_reports
+from cardinel.streaming.runner import (
+    CATCH_UP,
+    PARTITIONS,
+    append_to_table,
+    finish,
+    kept_state,
+)
+from cardinel.streaming.tables import LAYERS, create_layers, declare
 
-SALTS_PROPERTY = "cardinel.salts"
+# Parts that the transactions of a hot card are spread over in match state.
+SALTS = 16
 
 BRONZE_CUSTOMERS = "bronze.customers"
 BRONZE_TRANSACTIONS = "bronze.transactions"
@@ -55,13 +67,17 @@ SLIDING_COUNTS = "gold.transaction_count_by_minute_sliding_window"
 
 @dataclass(frozen=True)
 class StreamTable:
-    """A table fed by one stream, and what the stream is."""
+    """A table fed by one stream, and what the stream is.
+
+    With `enrich` each micro-batch is transformed with tables as they are then.
+    """
 
     name: str
     comment: str
     build: Callable[[], DataFrame]
     protected: bool = False
     stateful: bool = False
+    enrich: Callable[[DataFrame], DataFrame] | None = None
 
     @property
     def quality(self) -> str:
@@ -76,7 +92,11 @@ class Monitor:
     outboxes and, if `own_layers`, the tables. `messages` gives the Kafka stream.
     Customer records are appended to `bronze.customers` by their own loader.
     `prefix` goes before every layer, to keep several jobs in one catalog apart.
-    `salts` and `look_back` are those of `match_cards`; the latter bounds its state.
+    `salts` are those of `match_cards`, and `partitions` the state partitions; both hold
+    for as long as the checkpoints live. The cards that are hot when matching begins are
+    spread over the salts. With `infer`, fields that the watchlist's files have beyond the
+    fixed ones become columns of the bronze table; the first run's schema is kept.
+    `table_format` is that of all tables. Reports of all batches are kept in `progress`.
     `limits` bounds the micro-batches of every stream that reads files or tables
     (`maxFilesPerTrigger`, `maxBytesPerTrigger`), so that a long backlog is worked
     off in steps; the messages are bounded by their own source.
@@ -90,8 +110,11 @@ class Monitor:
     own_layers: bool = False
     prefix: str = ""
     salts: int | None = None
-    look_back: str | None = None
+    partitions: int | None = None
+    infer: bool = False
+    table_format: str = "parquet"
     limits: Mapping[str, str] = field(default_factory=dict)
+    _keepers: list[ProgressKeeper] = field(default_factory=list, repr=False, compare=False)
 
     def set_up(self) -> None:
         """Create the layers and tables that are missing."""
@@ -110,22 +133,26 @@ class Monitor:
         )
         for stage in self.stages():
             for table in stage:
-                extra = {}
-                if table.name == CARD_MATCHES:
-                    extra[SALTS_PROPERTY] = str(self.salts or stream_salts(self.spark))
+                if self.spark.catalog.tableExists(self.table(table.name)):
+                    continue
+                rows = table.build()
+                if table.enrich:
+                    rows = table.enrich(rows).withColumn(BATCH, F.lit(""))
                 declare(
                     self.spark,
                     self.table(table.name),
-                    table.build().schema,
+                    rows.schema,
                     table.comment,
                     table.quality,
                     table.protected,
-                    extra,
+                    table_format=self.table_format,
+                    partition_by=[BATCH] if table.enrich else [],
                 )
 
     def run_once(self) -> list[StreamingQuery]:
         """Take in everything that has arrived, table by table, then stop."""
         self.set_up()
+        keeper = ProgressKeeper(self.spark, self.progress).start()
         done = []
         for stage in self.stages():
             queries = [self._start(table, CATCH_UP) for table in stage]
@@ -133,27 +160,49 @@ class Monitor:
             done += queries
         queries = self._start_outboxes(CATCH_UP)
         finish(*queries)
+        keeper.stop(*done, *queries)
         return done + queries
 
     def start(self, trigger: Mapping[str, object]) -> list[StreamingQuery]:
-        """Start all streams side by side and leave them running."""
-        self.set_up()
+        """Take in what is there, then start all streams side by side and leave them running.
+
+        What has arrived before is thus worked off table by table, customers before
+        alerts, and readers start on tables that their writers have committed to.
+        """
+        self.run_once()
+        self._keepers.append(ProgressKeeper(self.spark, self.progress).start())
         queries = [self._start(table, trigger) for stage in self.stages() for table in stage]
         return queries + self._start_outboxes(trigger)
 
+    def stop(self, queries: list[StreamingQuery]) -> None:
+        """Stop what `start` started."""
+        for query in queries:
+            query.stop()
+        while self._keepers:
+            self._keepers.pop().stop(*queries)
+
+    def rule_counts(self, metric: str) -> DataFrame:
+        """Rows and violations of all batches ever run, as `rule` and `n`."""
+        return kept_counts(read_reports(self.spark, self.progress), metric)
+
     def dashboard(self) -> dict[str, DataFrame]:
         """The dashboard's datasets by name, from the tables as they are now."""
-        return datasets(
+        return refresh(
             self._snapshot(SILVER_TRANSACTIONS),
             self._snapshot(TUMBLING_COUNTS),
             self._snapshot(LIMIT_ALERTS),
             self._snapshot(CARD_ALERTS),
+            f"{self.folder}/dashboard",
         )
 
     def table(self, name: str) -> str:
         """The name in the catalog."""
         return self.prefix + name
 
+    @property
+    def progress(self) -> str:
+        return f"{self.folder}/progress"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.folder}/checkpoints/{name}"
 
@@ -174,7 +223,8 @@ class Monitor:
                     BRONZE_WATCHLIST,
                     "Watchlist entries as delivered",
                     lambda: parse_watchlist(
-                        stream_json_lines(self.spark, self.watchlist_folder, **self.limits)
+                        stream_json_lines(self.spark, self.watchlist_folder, **self.limits),
+                        self._watchlist_schema(),
                     ),
                     protected=True,
                 ),
@@ -197,9 +247,8 @@ class Monitor:
                 StreamTable(
                     LIMIT_ALERTS,
                     "Transactions above their customer's limit",
-                    lambda: limit_alerts(
-                        self._stream(SILVER_TRANSACTIONS), self._snapshot(SILVER_CUSTOMERS)
-                    ),
+                    lambda: self._stream(SILVER_TRANSACTIONS),
+                    enrich=lambda batch: limit_alerts(batch, self._customers_now(batch)),
                 ),
                 StreamTable(
                     CARD_MATCHES,
@@ -224,9 +273,8 @@ class Monitor:
                 StreamTable(
                     CARD_ALERTS,
                     "Card matches with their customer",
-                    lambda: alert_matches(
-                        self._stream(CARD_MATCHES), self._snapshot(SILVER_CUSTOMERS)
-                    ),
+                    lambda: self._stream(CARD_MATCHES),
+                    enrich=lambda batch: alert_matches(batch, self._customers_now(batch)),
                 ),
             ],
         ]
@@ -240,17 +288,35 @@ class Monitor:
         cleaned = clean_customers(self._stream(BRONZE_CUSTOMERS))
         return expect_drop(cleaned, CUSTOMER_DROP, "customers_drop")
 
+    def _watchlist_schema(self) -> StructType:
+        if not self.infer:
+            return WATCHLIST
+        found = infer_schema(self.spark, self.watchlist_folder, f"{self.folder}/schema/watchlist")
+        return StructType(
+            [*WATCHLIST, *(f for f in found if f.name not in WATCHLIST.names)]
+        )
+
+    def _customers_now(self, batch: DataFrame) -> DataFrame:
+        """Customers as their table stands, in the session of the batch."""
+        spark, name = batch.sparkSession, self.table(SILVER_CUSTOMERS)
+        spark.catalog.refreshTable(name)
+        return spark.read.table(name)
+
     def _matches(self) -> DataFrame:
-        """With the number of salts the table, and so its checkpoint, began with."""
-        salts = self.salts
-        if self.spark.catalog.tableExists(self.table(CARD_MATCHES)):
-            properties = table_properties(self.spark, self.table(CARD_MATCHES))
-            salts = int(properties[SALTS_PROPERTY])
+        """With the salts and hot cards that the checkpoint began with."""
+        kept = kept_state(self.spark, self.checkpoint(CARD_MATCHES))
+        if kept is None:
+            salts = SALTS if self.salts is None else self.salts
+            parts = self.partitions or int(self.spark.conf.get(PARTITIONS))
+            hot = hot_keys(self._snapshot(SILVER_TRANSACTIONS), "card_number", parts)
+        else:
+            salts = kept["match"]["salts"] if self.salts is None else self.salts
+            hot = kept["match"]["hot"]
         return match_cards(
             self._stream(SILVER_TRANSACTIONS),
             self._stream(SILVER_WATCHLIST),
             salts=salts,
-            look_back=self.look_back,
+            hot=hot,
         )
 
     def _stream(self, table: str) -> DataFrame:
@@ -260,12 +326,17 @@ class Monitor:
         return self.spark.read.table(self.table(table))
 
     def _start(self, table: StreamTable, trigger: Mapping[str, object]) -> StreamingQuery:
+        name, checkpoint = self.table(table.name), self.checkpoint(table.name)
+        if table.enrich:
+            return append_batches(table.build(), table.enrich, name, checkpoint, trigger)
         return append_to_table(
             table.build(),
-            self.table(table.name),
-            self.checkpoint(table.name),
+            name,
+            checkpoint,
             trigger,
             table.stateful,
+            self.partitions,
+            self.table_format,
         )
 
     def _start_outboxes(self, trigger: Mapping[str, object]) -> list[StreamingQuery]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +34,7 @@ def render_limit_notifications(alerts: DataFrame) -> DataFrame:
         "Nothing needs doing if you made this payment. If you did not, call us at once.",
     )
     subject = F.concat(F.lit(LIMIT_SUBJECT), shown("alert_id"))
-    return _notification(alerts, subject, body)
+    return _notification(alerts, subject, body, ["transaction_amount", "transaction_limit"])
 
 
 def render_card_notifications(alerts: DataFrame) -> DataFrame:
@@ -77,7 +80,7 @@ def render_card_notifications(alerts: DataFrame) -> DataFrame:
     subject = F.concat(
         F.lit(CARD_SUBJECT), shown("risk_level"), F.lit(CARD_SUBJECT_END), shown("alert_id")
     )
-    return _notification(alerts, subject, body)
+    return _notification(alerts, subject, body, ["amount"])
 
 
 def notification_counts(notifications: DataFrame) -> DataFrame:
@@ -89,16 +92,21 @@ def notification_counts(notifications: DataFrame) -> DataFrame:
     )
 
 
-def _notification(alerts: DataFrame, subject: Column, body: Column) -> DataFrame:
-    """The body is NULL if an amount is; without body or address it cannot go out."""
+def _notification(
+    alerts: DataFrame, subject: Column, body: Column, amounts: list[str]
+) -> DataFrame:
+    """The body is NULL if an amount is; without body or address it cannot go out.
+
+    Whether it can is read from the amounts, so that counting renders nothing.
+    """
+    complete = reduce(and_, [F.col(name).isNotNull() for name in amounts])
+    addressed = F.coalesce(F.col("customer_email") != "", F.lit(False))
     return alerts.select(
         "alert_id",
         F.col("customer_email").alias("recipient"),
         subject.alias("subject"),
         body.alias("body"),
-    ).withColumn(
-        "deliverable",
-        F.coalesce(F.col("recipient") != "", F.lit(False)) & F.col("body").isNotNull(),
+        (addressed & complete).alias("deliverable"),
     )
 
 

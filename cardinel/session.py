@@ -41,6 +41,9 @@ STATEFUL = {
 }
 
 
+# Under this name a frame's columns carry what a checkpoint of it depends on.
+STATE_METADATA = "cardinel.state"
+
 # Shuffle partitions to begin with, for each core; adaptive execution merges them
 # to the advisory size. Enough for a shuffle of the largest tables to fit in memory
 # by parts, few enough for the driver to keep track of.
@@ -79,28 +82,6 @@ def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
-def state_partitions(spark: SparkSession) -> int:
-    """Partitions for a stateful query: one per core, fixed by its first run.
-
-    The number is written into the checkpoint by the first batch and reused by
-    every later run, so it follows the size of the cluster the query began on.
-    Each partition keeps a state store of its own, whose commit is a fixed cost
-    per batch; more than one per core would only add to that.
-    """
-    return spark.sparkContext.defaultParallelism
-
-
-def stream_salts(spark: SparkSession) -> int:
-    """Parts to spread each key of a stateful join over, by the size of the cluster.
-
-    With one part for every eight partitions, a key that holds a third of all rows
-    puts less than three times the mean load on the partitions it is spread over.
-    The other side's copies cost each partition an eighth of that side. On few
-    partitions, sixteen parts even out which partition gets how many of them.
-    """
-    return max(16, state_partitions(spark) // 8)
-
-
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 

@@ -1,6 +1,12 @@
 """Kafka messages, JSON and CSV files, and the incremental watchlist export."""
 
-from cardinel.sources.export import landed_mark, new_entries, read_landed, read_watchlist_csv
+from cardinel.sources.export import (
+    export_entries,
+    landed_mark,
+    new_entries,
+    read_landed,
+    read_watchlist_csv,
+)
 from cardinel.sources.kafka import KafkaSource, envelope
 from cardinel.sources.watchlist import (
     infer_schema,
@@ -12,6 +18,7 @@ from cardinel.sources.watchlist import (
 __all__ = [
     "KafkaSource",
     "envelope",
+    "export_entries",
     "infer_schema",
     "landed_mark",
     "new_entries",

@@ -44,3 +44,12 @@ def new_entries(source: DataFrame, landed: DataFrame) -> DataFrame:
     return source.filter(mark.isNull() | (number > mark)).withColumn(
         "entity_id", F.col("entity_id").cast("string")
     )
+
+
+def export_entries(spark: SparkSession, csv: str, folder: str) -> None:
+    """Land the entries of CSV files that are above the mark, as lines of JSON.
+
+    What an export writes becomes visible as a whole, so one that failed can be repeated.
+    """
+    new = new_entries(read_watchlist_csv(spark, csv), read_landed(spark, folder))
+    new.write.mode("append").json(folder)

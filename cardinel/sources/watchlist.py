@@ -1,7 +1,8 @@
 """Watchlist entries from a folder of JSON files, one document per line.
 
-Lines are read as text and parsed once by schema and once as a plain map, so
-that whatever the schema cannot hold is kept in `_rescued_data`.
+Lines are read as text and parsed once, as a map or an array of maps of texts, from
+which the schema's fields are cast. Whatever the schema cannot hold is kept in
+`_rescued_data`: unknown fields, values of another type, and lines that are no JSON.
 """
 
 from __future__ import annotations
@@ -28,24 +29,44 @@ def read_json_lines(spark: SparkSession, folder: str) -> DataFrame:
 def parse_watchlist(
     lines: DataFrame, schema: T.StructType = WATCHLIST, now: Column | None = None
 ) -> DataFrame:
-    """Fields by schema, the rest as JSON text, the file and time of ingestion."""
+    """Fields by schema, the rest as JSON text, the file and time of ingestion.
+
+    A line is one entry or an array of entries. A line that cannot be parsed (broken, cut
+    off, neither object nor array) is one entry without fields, whose text is kept whole.
+    """
+    entry = T.MapType(T.StringType(), T.StringType())
+    # An entry on its own becomes an array of one; a broken line gives NULL.
+    array = F.when(F.col("value").rlike(r"^\s*\["), F.col("value")).otherwise(
+        F.concat(F.lit("["), F.col("value"), F.lit("]"))
+    )
     parsed = lines.select(
-        F.from_json("value", schema).alias("data"),
-        F.from_json("value", T.MapType(T.StringType(), T.StringType())).alias("raw"),
+        "value",
         "file_path",
+        F.explode_outer(F.from_json(array, T.ArrayType(entry))).alias("raw"),
     )
+    fields = [_field(f.name, f.dataType) for f in schema]
     return parsed.select(
-        "data.*",
-        _rescued(schema).alias("_rescued_data"),
+        *fields,
+        F.when(F.col("raw").isNull(), F.col("value"))
+        .otherwise(_rescued(schema))
+        .alias("_rescued_data"),
         "file_path",
         (F.current_timestamp() if now is None else now).alias("ingestion_ts"),
     )
 
 
-def infer_schema(
-    spark: SparkSession, folder: str, location: str, sampling_ratio: float = 1.0
-) -> T.StructType:
-    """The schema kept at `location`; on first use inferred from the files there are.
+def _field(name: str, kind: T.DataType) -> Column:
+    """A field's text as its type: NULL if it has another."""
+    text = F.col("raw")[name]
+    if kind == T.StringType():
+        return text.alias(name)
+    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        return F.from_json(text, kind).alias(name)
+    return text.try_cast(kind).alias(name)
+
+
+def infer_schema(spark: SparkSession, folder: str, location: str) -> T.StructType:
+    """The schema kept at `location`; on first use inferred from all files there are.
 
     Every later run gets the first run's types, so a stream does not change its
     columns because of new files; unknown fields go to `_rescued_data`.
@@ -53,7 +74,7 @@ def infer_schema(
     kept = read_if_present(lambda: spark.read.text(location, wholetext=True))
     if kept is not None:
         return T.StructType.fromJson(json.loads(kept.first()[0]))
-    schema = spark.read.json(folder, samplingRatio=sampling_ratio).schema
+    schema = spark.read.json(folder).schema
     spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(location)
     return schema
 
@@ -68,7 +89,7 @@ def _lines(text: DataFrame) -> DataFrame:
 def _rescued(schema: T.StructType) -> Column:
     """Unknown fields, and fields whose value does not have the schema's type."""
     mistyped = [
-        (name, F.col("data").getField(name).isNull())
+        (name, _field(name, kind).isNull())
         for name, kind in ((f.name, f.dataType) for f in schema)
         if kind != T.StringType()
     ]

@@ -1,21 +1,43 @@
 """Running streams: table sinks, declared tables, the outbox and progress."""
 
+from cardinel.streaming.batches import append_batches
 from cardinel.streaming.outbox import attach_outbox, outbox_stats, read_outbox, write_outbox
-from cardinel.streaming.progress import late_rows, observed_counts, state_rows
-from cardinel.streaming.runner import append_to_path, append_to_table, finish
+from cardinel.streaming.progress import (
+    ProgressKeeper,
+    kept_counts,
+    kept_late_rows,
+    late_rows,
+    observed_counts,
+    read_reports,
+    state_rows,
+)
+from cardinel.streaming.runner import (
+    StateChanged,
+    append_to_path,
+    append_to_table,
+    finish,
+    kept_state,
+)
 from cardinel.streaming.tables import create_layers, declare, reset, table_properties
 
 __all__ = [
+    "ProgressKeeper",
+    "StateChanged",
+    "append_batches",
     "append_to_path",
     "append_to_table",
     "attach_outbox",
     "create_layers",
     "declare",
     "finish",
+    "kept_counts",
+    "kept_late_rows",
+    "kept_state",
     "late_rows",
     "observed_counts",
     "outbox_stats",
     "read_outbox",
+    "read_reports",
     "reset",
     "state_rows",
     "table_properties",

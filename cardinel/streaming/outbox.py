@@ -1,7 +1,8 @@
 """Notifications as a table for a mail service to deliver.
 
-Each micro-batch owns one partition of the outbox and overwrites it, so a batch
-that is replayed after a failure leaves its notifications there once.
+Each micro-batch of a checkpoint owns one partition of the outbox and overwrites it, so
+a batch that is replayed after a failure leaves its notifications there once, and a new
+checkpoint leaves the old ones alone.
 """
 
 from __future__ import annotations
@@ -14,18 +15,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cardinel.sources.paths import read_if_present
+from cardinel.streaming.batches import writer_id
 from cardinel.streaming.runner import CATCH_UP
 
 log = logging.getLogger(__name__)
 
 NOTIFICATION = (
     "alert_id string, recipient string, subject string, body string, "
-    "deliverable boolean, batch_id bigint"
+    "deliverable boolean, query_id string, batch_id bigint"
 )
 
 
-def write_outbox(notifications: DataFrame, folder: str, batch_id: int) -> None:
-    notifications.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+def write_outbox(notifications: DataFrame, folder: str, query_id: str, batch_id: int) -> None:
+    place = f"{folder}/query_id={query_id}/batch_id={batch_id}"
+    notifications.write.mode("overwrite").parquet(place)
 
 
 def attach_outbox(
@@ -38,16 +41,15 @@ def attach_outbox(
 ) -> StreamingQuery:
     """Start rendering a stream of alerts into an outbox.
 
-    If not enabled, batches are passed over, as if they had been delivered. Folder
-    and checkpoint belong together: a new checkpoint counts its batches from zero
-    and would overwrite the old ones.
+    If not enabled, batches are passed over, as if they had been delivered.
     """
+    query_id = writer_id(alerts.sparkSession, checkpoint)
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
         if not enabled:
             log.warning("batch %s: notifications are off, nothing written", batch_id)
             return
-        write_outbox(render(batch), folder, batch_id)
+        write_outbox(render(batch), folder, query_id, batch_id)
         log.info("batch %s: notifications written to %s", batch_id, folder)
 
     return (
@@ -67,7 +69,7 @@ def read_outbox(spark: SparkSession, folder: str) -> DataFrame:
 
 def outbox_stats(outbox: DataFrame) -> DataFrame:
     """Notifications of each batch: all, those that can be delivered, and the rest."""
-    return outbox.groupBy("batch_id").agg(
+    return outbox.groupBy("query_id", "batch_id").agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if("deliverable").alias("succeeded"),
         F.count_if(~F.col("deliverable")).alias("failed"),

@@ -1,14 +1,83 @@
-"""What the recent micro-batches of a query reported."""
+"""What the micro-batches of queries report: rule counts, late rows, state.
+
+A query object remembers its last hundred reports only, and forgets them when it stops.
+The keeper writes each one to a folder, under the query's id (which lives as long as
+its checkpoint) and the batch; a batch that is run again overwrites its own report.
+"""
 
 from __future__ import annotations
 
-from collections import Counter
+import json
+import threading
+from collections import Counter, defaultdict
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+from cardinel.sources.paths import read_if_present
+
+REPORT = "name string, late_rows bigint, metrics string"
+KEYS = "query_id string, batch_id bigint"
+
+
+class ProgressKeeper(StreamingQueryListener):
+    """Keeps the reports of all queries of a session, between `start` and `stop`."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+        self.ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def start(self) -> ProgressKeeper:
+        self.spark.streams.addListener(self)
+        return self
+
+    def stop(self, *queries: StreamingQuery, seconds: float = 60) -> None:
+        """Wait until the reports of stopped queries are kept, then keep no more."""
+        for query in queries:
+            self.ended[str(query.runId)].wait(seconds)
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.runId)].set()
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        late = sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
+        metrics = {name: row.asDict() for name, row in progress.observedMetrics.items()}
+        row = self.spark.createDataFrame([(progress.name, late, json.dumps(metrics))], REPORT)
+        place = f"{self.folder}/query_id={progress.id}/batch_id={progress.batchId}"
+        row.coalesce(1).write.mode("overwrite").json(place)
+
+
+def read_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """All kept reports; none if there are none yet."""
+    schema = f"{REPORT}, {KEYS}"
+    reports = read_if_present(lambda: spark.read.schema(schema).json(folder))
+    return spark.createDataFrame([], schema) if reports is None else reports
+
+
+def kept_counts(reports: DataFrame, metric: str) -> DataFrame:
+    """`rule` and `n` of a metric, added up over all batches."""
+    counts = F.from_json("metrics", "map<string,map<string,bigint>>")[metric]
+    return reports.select(F.explode(counts).alias("rule", "n")).groupBy("rule").agg(
+        F.sum("n").alias("n")
+    )
+
 
-from pyspark.sql.streaming import StreamingQuery
+def kept_late_rows(reports: DataFrame) -> DataFrame:
+    """Rows of each query that were dropped as older than the watermark."""
+    return reports.groupBy("query_id").agg(F.sum("late_rows").alias("late_rows"))
 
 
 def observed_counts(query: StreamingQuery, metric: str) -> dict[str, int]:
-    """Rule counts under a metric's name, added up."""
+    """Rule counts of a query's recent batches, a hundred at most, added up."""
     total: Counter[str] = Counter()
     for progress in query.recentProgress:
         row = progress.observedMetrics.get(metric)
@@ -18,7 +87,7 @@ def observed_counts(query: StreamingQuery, metric: str) -> dict[str, int]:
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped because they were older than the watermark.
+    """Rows of a query's recent batches, a hundred at most, older than the watermark.
 
     A salted match drops a late watchlist entry once per salt.
     """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
@@ -34,11 +34,16 @@ def declare(
     quality: str,
     protected: bool = False,
     extra: Mapping[str, str] | None = None,
+    table_format: str = "parquet",
+    partition_by: Sequence[str] = (),
 ) -> None:
-    """Create the table if missing, so that readers can start before writers."""
+    """Create the table if missing, so that readers can be planned before it has rows."""
     if spark.catalog.tableExists(table):
         return
-    spark.catalog.createTable(table, source="parquet", schema=schema, description=comment)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    text = comment.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING {table_format}{parts} COMMENT '{text}'")
     values = {QUALITY: quality, RESET_ALLOWED: str(not protected).lower(), **(extra or {})}
     pairs = ", ".join(f"'{key}' = '{value}'" for key, value in values.items())
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
@@ -48,13 +53,13 @@ def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
     return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 
 
-def reset(spark: SparkSession, table: str, checkpoint: str) -> None:
-    """Drop a table and forget its progress, unless it is protected.
+def reset(spark: SparkSession, table: str) -> None:
+    """Drop a table, unless it is protected or a query is writing to it.
 
-    The next run then declares it anew and reads its source from the start.
+    Give the next run another checkpoint: it then reads its source from the start.
     """
+    if any(query.name == table for query in spark.streams.active):
+        raise ResetRefused(f"{table} has a running query")
     if table_properties(spark, table).get(RESET_ALLOWED) == "false":
         raise ResetRefused(f"{table} has {RESET_ALLOWED} = false")
     spark.sql(f"DROP TABLE {table}")
-    path = spark._jvm.org.apache.hadoop.fs.Path(checkpoint)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -4,8 +4,9 @@ The expressions run unchanged in Spark and in the engine that checks the
 results. Every row of a table is used:
 each event is a transaction, each customer a customer record and each supplier
 a watchlist entry for the card of the same number. Some transactions lack a
-customer or have a negative amount, some customers lack an id, and watchlist
-codes are in lower case, so that the cleaning has something to do.
+customer, have no or a negative amount, some customers lack an id, and watchlist
+codes are in lower case, so that the cleaning has something to do. A tenth of the cards
+has a letter, in lower case for half of the payments, which then match nothing.
 """
 
 from __future__ import annotations
@@ -28,12 +29,13 @@ TRANSACTIONS = {
     "transaction_id": "concat('T', lpad(cast(event_id as string), 10, '0'))",
     "customer_id": """case when event_id % 97 = 0 then null
         else concat('C', lpad(cast(user_id as string), 8, '0')) end""",
-    "card_number": "concat('4', lpad(cast(user_id as string), 15, '0'))",
+    "card_number": """concat(case when user_id % 10 <> 0 then '4' when event_id % 2 = 0 then 'X'
+        else 'x' end, lpad(cast(user_id as string), 15, '0'))""",
     "merchant_id": "concat('M', cast(event_id % 50 as string))",
     "merchant_name": "concat('Merchant ', cast(event_id % 50 as string))",
     "merchant_category": "event_type",
-    "amount": "case when event_id % 89 = 0 then -value else value end",
-    "currency": "'USD'",
+    "amount": """case when event_id % 89 = 0 then -value when event_id % 83 <> 0 then value end""",
+    "currency": "case event_id % 4 when 0 then 'EUR' when 1 then 'GBP' else 'USD' end",
     "transaction_type": "case when event_id % 2 = 0 then 'PURCHASE' else 'WITHDRAWAL' end",
     "payment_channel": "case event_id % 3 when 0 then 'POS' when 1 then 'ONLINE' else 'ATM' end",
     "device_id": "concat('D', cast(event_id % 20 as string))",
@@ -77,7 +79,8 @@ HOME = "c_nationkey = n_nationkey"
 WATCHLIST_ENTRIES = {
     "watchlist_id": "concat('wl', lpad(cast(s_suppkey as string), 6, '0'))",
     "watch_type": "'CARD'",
-    "entity_id": "concat('4', lpad(cast(s_suppkey as string), 15, '0'))",
+    "entity_id": """concat(case when s_suppkey % 10 = 0 then 'x' else '4' end,
+        lpad(cast(s_suppkey as string), 15, '0'))""",
     "action": "'block'",
     "city": "concat('CITY_', cast(s_nationkey as string))",
     "country": "concat('NATION_', cast(s_nationkey as string))",

@@ -295,11 +295,14 @@ QUERIES = {
                cast(ts as varchar) as "timestamp", 0 as "timestampType"
         from events
     """,
-    "kafka_batch_table": """
-        select transaction_id as "key", merchant_name as value, 'transactions' as topic,
+    "kafka_batch_table": f"""
+        select {_TRANSACTION_COLUMNS.replace("cast(transaction_timestamp",
+                                             "cast(raw_transactions.transaction_timestamp")},
+               transaction_id as "key", 'transactions' as topic,
                cast(cast(substr(transaction_id, 2) as bigint) % 8 as int) as "partition",
                cast(substr(transaction_id, 2) as bigint) as "offset",
-               cast(transaction_timestamp as varchar) as "timestamp", 0 as "timestampType"
+               cast(raw_transactions.transaction_timestamp as varchar) as "timestamp",
+               0 as "timestampType"
         from raw_transactions
     """,
     "silver_transactions": f"select {_TRANSACTION_COLUMNS} from transactions",
@@ -331,6 +334,11 @@ QUERIES = {
                        case when s_nationkey > 18
                             then '"nation":"{\\"key\\":' || s_nationkey || '}"' end) as rest
               from supplier)
+        union all select null, null, case s_nationkey % 3
+            when 0 then '{"watchlist_id":"CUT' || s_suppkey else 'line ' || s_suppkey end
+          from supplier where s_nationkey % 3 < 2
+        union all select 'A' || s_suppkey, null, null from supplier where s_nationkey % 3 = 2
+        union all select 'B' || s_suppkey, 2.5e0, null from supplier where s_nationkey % 3 = 2
     """,
     "inferred_schema": """
         select *, cast(null as varchar) as _rescued_data
@@ -436,23 +444,48 @@ QUERIES = {
         union all select 'total_transactions', cast(count(*) as varchar) from transactions
         union all select 'total_volume', cast(round(sum(amount) / 1000000, 2) as varchar)
           from transactions
+        union all select 'txn_by_minute', window_start || '|' || transaction_count from tumbling
+        union all select 'fraud_card_alerts_count', cast(count(*) as varchar) from card_alerts
+        union all select 'fraud_by_reason', reason_code || '|' || alert_count from ({_REASONS})
+        union all select 'fraud_by_risk', risk_level || '|' || alert_count from ({_RISKS})
+        union all select 'limit_exceeded_count', cast(count(*) as varchar) from limit_alerts
+        union all select 'recent_limit_alerts', concat_ws('|', alert_id,
+            alert_timestamp, customer_name, currency, merchant_name)
+          from (select * from limit_alerts order by alert_timestamp desc, alert_id limit 50)
+        union all select 'recent_fraud_alerts', concat_ws('|', alert_id,
+            alert_timestamp, customer_name, currency, merchant_name)
+          from (select * from card_alerts order by alert_timestamp desc, alert_id limit 50)
     """,
     "monitor_run_once": """
-        select 'bronze.transactions' as table_name, count(*) as row_count from raw_transactions
-        union all select 'bronze.watchlist', count(*) from raw_watchlist
-        union all select 'silver.transactions', count(*) from transactions
-        union all select 'silver.watchlist', count(*) from watchlist
-        union all select 'silver.customers', count(*) from customers
-        union all select 'gold.transaction_alerts', count(*) from limit_alerts
-        union all select 'gold.card_matches', count(*)
+        select 'bronze.transactions' as table_name, concat_ws('|', transaction_id, 'transactions',
+            cast(substr(transaction_id, 2) as bigint) % 8,
+            cast(substr(transaction_id, 2) as bigint)) as content from raw_transactions
+        union all select 'bronze.watchlist',
+            concat_ws('|', watchlist_id, entity_id, effective_from, status) from raw_watchlist
+        union all select 'silver.transactions', concat_ws('|', transaction_id, customer_id,
+            card_number, merchant_name, currency, city, transaction_timestamp, is_international,
+            status) from transactions
+        union all select 'silver.watchlist',
+            concat_ws('|', watchlist_id, entity_id, risk_level, effective_from) from watchlist
+        union all select 'silver.customers',
+            concat_ws('|', customer_id, card_number, email, account_open_date) from customers
+        union all select 'gold.transaction_alerts', concat_ws('|', alert_id, customer_id,
+            customer_name, customer_email, currency) from limit_alerts
+        union all select 'gold.card_matches',
+            concat_ws('|', transaction_id, card_number, watchlist_id, risk_level)
           from transactions join watchlist on card_number = entity_id
-        union all select 'gold.fraud_card_alerts', count(*) from card_alerts
-        union all select 'gold.transaction_count_by_minute_tumbling_window', count(*)
+        union all select 'gold.fraud_card_alerts', concat_ws('|', alert_id, customer_id,
+            customer_name, customer_email, risk_level) from card_alerts
+        union all select 'gold.transaction_count_by_minute_tumbling_window',
+            concat_ws('|', window_start, window_end, transaction_count)
           from tumbling, closing where tumbling.window_end <= watermark
-        union all select 'gold.transaction_count_by_minute_sliding_window', count(*)
+        union all select 'gold.transaction_count_by_minute_sliding_window',
+            concat_ws('|', window_start, window_end, transaction_count)
           from sliding, closing where sliding.window_end <= watermark
-        union all select 'outbox.gold.transaction_alerts', count(*) from limit_mails
-        union all select 'outbox.gold.fraud_card_alerts', count(*) from card_mails
+        union all select 'outbox.gold.transaction_alerts',
+            concat_ws('|', alert_id, recipient, subject, body, deliverable) from limit_mails
+        union all select 'outbox.gold.fraud_card_alerts',
+            concat_ws('|', alert_id, recipient, subject, deliverable) from card_mails
     """,
 }
 

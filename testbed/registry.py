@@ -22,7 +22,9 @@ from cardinel.operators import (
     parse_transactions,
     rule_counts,
 )
+from cardinel.operators.alerts import alert_matches, match_cards
 from cardinel.operators.quality import CUSTOMER_DROP, TRANSACTION_DROP, TRANSACTION_WARN
+from cardinel.operators.skew import hot_keys
 from cardinel.plans import dashboard
 from cardinel.plans import monitor as job
 from cardinel.plans.notifications import (
@@ -30,31 +32,33 @@ from cardinel.plans.notifications import (
     render_card_notifications,
     render_limit_notifications,
 )
-from cardinel.schemas import WATCHLIST
+from cardinel.schemas import TRANSACTION, WATCHLIST
 from cardinel.session import prepare, work_folder
 from cardinel.sources import (
     envelope,
+    export_entries,
     infer_schema,
     landed_mark,
-    new_entries,
     parse_watchlist,
     read_json_lines,
     read_landed,
-    read_watchlist_csv,
     stream_json_lines,
 )
 from cardinel.streaming import (
+    ProgressKeeper,
     append_to_path,
     append_to_table,
     attach_outbox,
     create_layers,
     declare,
     finish,
-    observed_counts,
+    kept_counts,
     outbox_stats,
     read_outbox,
+    read_reports,
     table_properties,
 )
+from cardinel.streaming.tables import LAYERS
 from testbed import mapping
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,7 +171,8 @@ def kafka_batch_table(spark: SparkSession, folder: str) -> DataFrame:
     create_layers(spark, [layer], work)
     envelope(mapping.messages(spark, folder), stamped=False).write.saveAsTable(f"{layer}.messages")
     saved = spark.read.table(f"{layer}.messages")
-    return saved.withColumn("value", F.get_json_object("value", "$.merchant_name"))
+    fields = F.from_json("value", TRANSACTION)
+    return _and_dropped(saved.withColumn("value", fields).select("*", "value.*").drop("value"), [layer])
 
 
 @registered
@@ -200,13 +205,17 @@ def expectation_metrics_customers(spark: SparkSession, folder: str) -> DataFrame
 
 @registered
 def expectation_metrics_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The counts a stream reports along with its progress."""
+    """The counts a stream reports along with its progress, from where they are kept."""
     work = work_folder(spark, "expectation_metrics")
     rows = silver_transactions_of_stream(spark, folder)
+    keeper = ProgressKeeper(spark, f"{work}/progress").start()
     query = append_to_path(rows, f"{work}/data", f"{work}/checkpoint")
     finish(query)
-    counts = {**observed_counts(query, "warn"), **observed_counts(query, "drop")}
-    return spark.createDataFrame([counts], ", ".join(f"{name} bigint" for name in counts))
+    keeper.stop(query)
+    reports = read_reports(spark, f"{work}/progress")
+    counts = kept_counts(reports, "warn").union(kept_counts(reports, "drop")).distinct()
+    names = ["rows", *TRANSACTION_WARN, *TRANSACTION_DROP]
+    return counts.groupBy().pivot("rule", names).agg(F.first("n"))
 
 
 @registered
@@ -232,7 +241,10 @@ def watchlist_json_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def rescued_watchlist(spark: SparkSession, folder: str) -> DataFrame:
-    """Fields the schema lacks, and values of another type, kept as JSON text."""
+    """Fields the schema lacks, values of another type and broken lines, kept as text.
+
+    Lines come one for a supplier, some cut off, and one array of two for each nation's.
+    """
     work = work_folder(spark, "rescued_watchlist")
     parts = [
         """'"watchlist_id":"WL' || s_suppkey || '"'""",
@@ -244,6 +256,12 @@ def rescued_watchlist(spark: SparkSession, folder: str) -> DataFrame:
     suppliers = mapping.table(spark, folder, "supplier")
     document = suppliers.selectExpr(f"concat('{{', concat_ws(',', {', '.join(parts)}), '}}')")
     document.write.text(f"{work}/landed")
+    suppliers.selectExpr(
+        """case s_nationkey % 3 when 0 then concat('{"watchlist_id":"CUT', s_suppkey)
+           when 1 then concat('line ', s_suppkey)
+           else concat('[{"watchlist_id":"A', s_suppkey, '"},{"watchlist_id":"B', s_suppkey,
+                       '","score":2.5}]') end"""
+    ).write.mode("append").text(f"{work}/landed")
     schema = T.StructType().add("watchlist_id", "string").add("score", "double")
     return parse_watchlist(read_json_lines(spark, f"{work}/landed"), schema).drop(
         "file_path", "ingestion_ts"
@@ -273,7 +291,7 @@ def export_new_watchlist(spark: SparkSession, folder: str) -> DataFrame:
     """Entries of a CSV file that are above the highest number landed.
 
     Landed are those up to the mean number; after the export all have landed
-    once, and what the export added is returned.
+    once, and what is above the mean number is returned.
     """
     work = work_folder(spark, "export_new")
     entries = _exportable(spark, folder)
@@ -281,16 +299,15 @@ def export_new_watchlist(spark: SparkSession, folder: str) -> DataFrame:
     mean = entries.agg(F.avg(number)).scalar()
     entries.write.csv(f"{work}/source", header=True)
     entries.filter(number <= mean).write.json(f"{work}/landed")
-    source = read_watchlist_csv(spark, f"{work}/source")
-    new_entries(source, read_landed(spark, f"{work}/landed")).write.json(f"{work}/added")
-    added = read_json_lines(spark, f"{work}/added")
-    return parse_watchlist(added).select(*WATCHLIST.names)
+    export_entries(spark, f"{work}/source", f"{work}/landed")
+    landed = parse_watchlist(read_json_lines(spark, f"{work}/landed"))
+    return landed.filter(number > mean).select(*WATCHLIST.names)
 
 
 @registered
 def table_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    """Declare a table, append a stream to it, stream it on into a second one, and
-    read that one as it stands."""
+    """Declare a table in partitions, append a stream to it, stream it on into a second
+    one, and read that one as it stands."""
     work = work_folder(spark, "round_trip")
     layer = f"trip_{work.rsplit('-', 1)[1]}"
     create_layers(spark, [layer], work)
@@ -298,10 +315,15 @@ def table_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     for name, source in (("first", None), ("second", "first")):
         if source:
             rows = spark.readStream.table(f"{layer}.{source}")
-        declare(spark, f"{layer}.{name}", rows.schema, "Round trip", "silver", protected=True)
-        finish(append_to_table(rows, f"{layer}.{name}", f"{work}/checkpoints/{name}"))
+        table, parts = f"{layer}.{name}", ["payment_channel"]
+        declare(
+            spark, table, rows.schema, "Round trip", "silver", protected=True, partition_by=parts
+        )
+        point = f"{work}/checkpoints/{name}"
+        finish(append_to_table(rows, table, point, partition_by=parts))
     quality = table_properties(spark, f"{layer}.second")["quality"]
-    return spark.read.table(f"{layer}.second").withColumn("quality", F.lit(quality))
+    rows = spark.read.table(f"{layer}.second").withColumn("quality", F.lit(quality))
+    return _and_dropped(rows, [layer])
 
 
 @registered
@@ -345,13 +367,19 @@ def card_alerts_salted(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def card_alerts_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Two streams joined in state, and the customers joined as a table."""
-    alerts = card_alerts(
+    """Two streams joined in state, hot cards spread, and customers joined by a second query."""
+    work = work_folder(spark, "card_matches")
+    hot = hot_keys(mapping.transactions(spark, folder), "card_number", 64)
+    matches = match_cards(
         silver_transactions_of_stream(spark, folder),
         silver_watchlist_table(spark, folder, stream=True),
-        silver_customers_table(spark, folder),
+        salts=16,
+        hot=hot,
     )
-    return stored(alerts, "card_alerts", stateful=True).drop("alert_timestamp")
+    finish(append_to_path(matches, f"{work}/data", f"{work}/checkpoint", stateful=True))
+    arrived = spark.readStream.schema(matches.schema).parquet(f"{work}/data")
+    alerts = alert_matches(arrived, silver_customers_table(spark, folder))
+    return stored(alerts, "card_alerts").drop("alert_timestamp")
 
 
 # Windowed counts.
@@ -400,12 +428,12 @@ def notification_stats(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def outbox_stream(spark: SparkSession, folder: str) -> DataFrame:
     """A stream of alerts rendered into the outbox, batch by batch."""
-    return read_outbox(spark, _filled_outbox(spark, folder))
+    return read_outbox(spark, _filled_outbox(spark, folder)).drop("query_id")
 
 
 @registered
 def outbox_stream_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return outbox_stats(read_outbox(spark, _filled_outbox(spark, folder)))
+    return outbox_stats(read_outbox(spark, _filled_outbox(spark, folder))).drop("query_id")
 
 
 @registered
@@ -478,39 +506,52 @@ def dashboard_overview(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def dashboard_datasets(spark: SparkSession, folder: str) -> DataFrame:
-    """The transaction reports taken from the one scan, as text rows under their names."""
-    datasets = dashboard.datasets(
+    """All reports as text rows under their names, those of transactions from one scan."""
+    datasets = dashboard.refresh(
         silver_transactions_table(spark, folder),
         _tumbling(spark, folder),
         limit_alerts_table(spark, folder),
         card_alerts_table(spark, folder),
+        work_folder(spark, "dashboard"),
     )
-    from_the_overview = (
-        "txn_by_merchant",
-        "intl_vs_domestic",
-        "top_cities",
-        "txn_by_channel",
-        "total_transactions",
-        "total_volume",
-    )
+    # Of the long rows, what names the alert and its customer.
+    alert = ["alert_id", "alert_timestamp", "customer_name", "currency", "merchant_name"]
+    columns = {name: df.columns for name, df in datasets.items()}
+    columns |= {"recent_limit_alerts": alert, "recent_fraud_alerts": alert}
     rows = [
         datasets[name].select(
             F.lit(name).alias("dataset"),
-            F.concat_ws("|", *[F.col(c).cast("string") for c in datasets[name].columns]).alias(
-                "content"
-            ),
+            F.concat_ws("|", *[F.col(c).cast("string") for c in kept]).alias("content"),
         )
-        for name in from_the_overview
+        for name, kept in columns.items()
     ]
     return reduce(DataFrame.unionAll, rows)
 
 
-# The whole job.
+# The whole job. Of each table, what does not hold the time of the run or fractions.
+
+JOB_CONTENTS = {
+    job.BRONZE_TRANSACTIONS: ["key", "topic", "partition", "offset"],
+    job.BRONZE_WATCHLIST: ["watchlist_id", "entity_id", "effective_from", "status"],
+    job.SILVER_TRANSACTIONS: [
+        "transaction_id", "customer_id", "card_number", "merchant_name", "currency", "city",
+        "transaction_timestamp", "is_international", "status",
+    ],
+    job.SILVER_WATCHLIST: ["watchlist_id", "entity_id", "risk_level", "effective_from"],
+    job.SILVER_CUSTOMERS: ["customer_id", "card_number", "email", "account_open_date"],
+    job.LIMIT_ALERTS: ["alert_id", "customer_id", "customer_name", "customer_email", "currency"],
+    job.CARD_MATCHES: ["transaction_id", "card_number", "watchlist_id", "risk_level"],
+    job.CARD_ALERTS: ["alert_id", "customer_id", "customer_name", "customer_email", "risk_level"],
+    job.TUMBLING_COUNTS: ["window_start", "window_end", "transaction_count"],
+    job.SLIDING_COUNTS: ["window_start", "window_end", "transaction_count"],
+    f"outbox.{job.LIMIT_ALERTS}": ["alert_id", "recipient", "subject", "body", "deliverable"],
+    f"outbox.{job.CARD_ALERTS}": ["alert_id", "recipient", "subject", "deliverable"],
+}
 
 
 @registered
 def monitor_run_once(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of every table and outbox after one run over all messages and files."""
+    """Contents of every table and outbox after one run over all messages and files."""
     work = work_folder(spark, "monitor")
     monitor = job.Monitor(
         spark,
@@ -531,11 +572,26 @@ def monitor_run_once(spark: SparkSession, folder: str) -> DataFrame:
         f"outbox.{name}": read_outbox(spark, monitor.outbox(name))
         for name in (job.LIMIT_ALERTS, job.CARD_ALERTS)
     }
-    counts = [
-        df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+    contents = [
+        df.select(
+            F.lit(name).alias("table_name"),
+            F.concat_ws("|", *[F.col(c).cast("string") for c in JOB_CONTENTS[name]]).alias(
+                "content"
+            ),
+        )
         for name, df in rows.items()
     ]
-    return reduce(DataFrame.unionAll, counts)
+    layers = [monitor.table(layer) for layer in LAYERS]
+    return _and_dropped(reduce(DataFrame.unionAll, contents), layers)
+
+
+def _and_dropped(df: DataFrame, layers: list[str]) -> DataFrame:
+    """The rows from a folder of their own; the databases they came from are dropped."""
+    spark, work = df.sparkSession, work_folder(df.sparkSession, "result")
+    df.write.parquet(work)
+    for layer in layers:
+        spark.sql(f"DROP DATABASE IF EXISTS {layer} CASCADE")
+    return spark.read.schema(df.schema).parquet(work)
 
 
 def _untimed(df: DataFrame) -> DataFrame:

@@ -2,7 +2,11 @@ from pyspark.sql import functions as F
 
 from cardinel.functions import mask_card, money, risk_colour, shown, shown_time, yes_no
 from cardinel.operators import card_alerts, limit_alerts
-from cardinel.plans.notifications import render_card_notifications, render_limit_notifications
+from cardinel.plans.notifications import (
+    notification_counts,
+    render_card_notifications,
+    render_limit_notifications,
+)
 from cardinel.streaming import (
     attach_outbox,
     finish,
@@ -97,9 +101,9 @@ def test_replayed_batch_is_in_the_outbox_once(spark, tmp_path):
     folder = str(tmp_path / "outbox")
     mails = card_mails(spark, [{}, {"amount": None}])
     for batch in (0, 1, 1):
-        write_outbox(mails, folder, batch)
+        write_outbox(mails, folder, "q", batch)
     stats = {row.batch_id: row for row in outbox_stats(read_outbox(spark, folder)).collect()}
-    assert {batch: tuple(row)[1:] for batch, row in stats.items()} == {
+    assert {batch: tuple(row)[2:] for batch, row in stats.items()} == {
         0: (2, 1, 1),
         1: (2, 1, 1),
     }
@@ -129,3 +133,13 @@ def test_outbox_follows_the_stream(spark, tmp_path):
     run()
     got = {(row.batch_id, row.alert_id) for row in read_outbox(spark, folder).collect()}
     assert got == {(0, "ALERT-T1"), (2, "ALERT-T3")}
+
+    # A new checkpoint begins at batch 0 again, and leaves the old mail alone.
+    alerts = limit_alerts(feed.stream(), people)
+    finish(attach_outbox(alerts, render_limit_notifications, folder, checkpoint + "2"))
+    assert read_outbox(spark, folder).count() == 2 + 3
+
+
+def test_counting_renders_nothing(spark):
+    plan = notification_counts(card_mails(spark, [{}]))._jdf.queryExecution().optimizedPlan()
+    assert "html" not in plan.toString() and "format_number" not in plan.toString()

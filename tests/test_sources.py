@@ -7,6 +7,7 @@ from cardinel.session import work_folder
 from cardinel.sources import (
     KafkaSource,
     envelope,
+    export_entries,
     infer_schema,
     landed_mark,
     new_entries,
@@ -86,11 +87,25 @@ def test_rescued_data(spark, landing):
         "WL1": (1.5, None),
         "WL2": (None, '{"score":"high","extra":"1","more":"{\\"a\\":[1,2]}"}'),
         "7": (None, None),
-        None: (None, None),
+        None: (None, "broken"),
     }
     assert rows[0].file_path.endswith("/a.json")
 
 
+def test_no_watchlist_text_is_lost(spark, landing):
+    folder, land = landing
+    lines = ['{"watchlist_id":"WL1","sco', "just a line", "12", '[{"watchlist_id":"WL2"']
+    arrays = ['[{"watchlist_id":"WL3","score":2},{"watchlist_id":"WL4","x":true}]', " [ ] "]
+    land("a.json", *lines, *arrays)
+    schema = T.StructType().add("watchlist_id", "string").add("score", "double")
+    rows = parse_watchlist(read_json_lines(spark, str(folder)), schema).collect()
+    got = sorted((str(r.watchlist_id), r.score, r._rescued_data) for r in rows)
+    assert got == sorted(
+        [("None", None, line) for line in [*lines, " [ ] "]]
+        + [("WL3", 2.0, None), ("WL4", None, '{"x":"true"}')],
+    )
+
+
 def test_each_file_is_picked_up_once(spark, landing, tmp_path):
     folder, land = landing
     out = str(tmp_path / "out")
@@ -131,9 +146,8 @@ def test_export_adds_only_what_is_new(spark, tmp_path):
     def export(*numbers):
         entries = [{"watchlist_id": f"WL{n:06}", "entity_id": "0042"} for n in numbers]
         raw_watchlist(spark, *entries).write.mode("overwrite").csv(csv, header=True)
-        new = new_entries(read_watchlist_csv(spark, csv), read_landed(spark, landed))
-        rows = new.collect()
-        new.write.mode("append").json(landed)
+        rows = new_entries(read_watchlist_csv(spark, csv), read_landed(spark, landed)).collect()
+        export_entries(spark, csv, landed)
         return sorted(row.watchlist_id for row in rows)
 
     assert export(1, 2, 3) == ["WL000001", "WL000002", "WL000003"]

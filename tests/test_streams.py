@@ -6,10 +6,23 @@ from collections import Counter
 
 import pytest
 
-from cardinel.operators import card_alerts, count_sliding, count_tumbling
+from cardinel.operators import card_alerts, count_sliding, count_tumbling, expect_warn
 from cardinel.operators.alerts import match_cards
-from cardinel.session import STATEFUL
-from cardinel.streaming import append_to_path, finish, late_rows, state_rows
+from cardinel.operators.quality import TRANSACTION_WARN
+from cardinel.operators.skew import hot_keys
+from cardinel.session import STATEFUL, settings
+from cardinel.streaming import (
+    ProgressKeeper,
+    StateChanged,
+    append_to_path,
+    finish,
+    kept_counts,
+    kept_late_rows,
+    kept_state,
+    late_rows,
+    read_reports,
+    state_rows,
+)
 from helpers import Feed, at, customers, transactions, watchlist
 
 
@@ -154,34 +167,79 @@ def test_backdated_entry_is_late_but_one_without_time_matches(spark, feed, liste
     assert state_rows(query) == 4
 
 
-def test_look_back_lets_old_transactions_leave_the_state(spark, feed, listed, tmp_path):
-    def step(time, entry, card="4111222233334444"):
+def test_a_checkpoint_keeps_its_salts_and_partitions(spark, feed, listed, tmp_path):
+    """As if resumed on a larger cluster: other settings are refused, the old ones go on."""
+    entries = [{"watchlist_id": f"WL{i:06}", "entity_id": f"4{i}"} for i in range(20)]
+    listed.add(watchlist(spark, *entries))
+
+    def pay(first, last):
         feed.add(
-            transactions(spark, {"transaction_timestamp": at(time), "card_number": card})
+            transactions(
+                spark,
+                *[{"transaction_id": f"T{i}", "card_number": f"4{i % 20}"} for i in range(first, last)],
+            )
         )
-        listed.add(watchlist(spark, {"watchlist_id": entry, "effective_from": _text(time)}))
-        matches = match_cards(feed.stream(), listed.stream(), salts=2, look_back="2 days")
-        return run(matches, tmp_path)
-
-    queries = [
-        step("2024-01-01 00:00:00", "WL1"),
-        step("2024-01-02 00:00:00", "WL2", card="4999"),
-        step("2024-01-09 00:00:00", "WL3", card="4999"),
-        step("2024-01-09 01:00:00", "WL4", card="4999"),
-    ]
-    removed = sum(
-        operator.numRowsRemoved
-        for query in queries
-        for progress in query.recentProgress
-        for operator in progress.stateOperators
-    )
-    assert removed == 2
-    # WL1 to WL4 all name the first card; WL3 and WL4 come too late for its payment.
-    assert {row.watchlist_id for row in read(spark, tmp_path)} == {"WL1", "WL2"}
 
-
-def _text(time):
-    return at(time).strftime("%d-%b-%Y %H:%M:%S")
+    pay(0, 20)
+    run(match_cards(feed.stream(), listed.stream(), salts=16), tmp_path)
+    pay(20, 100)
+    with pytest.raises(StateChanged):
+        run(match_cards(feed.stream(), listed.stream(), salts=125), tmp_path)
+    with pytest.raises(StateChanged):
+        run(match_cards(feed.stream(), listed.stream(), salts=16, hot=["41"]), tmp_path)
+    with settings(spark, {"spark.sql.shuffle.partitions": "24"}):
+        run(match_cards(feed.stream(), listed.stream(), salts=16), tmp_path)
+    assert len(read(spark, tmp_path)) == 100
+    assert kept_state(spark, f"{tmp_path}/checkpoint")["partitions"] == 8
+
+
+def test_only_hot_cards_are_copied(spark, feed, listed, tmp_path):
+    entries = [{"watchlist_id": f"WL{i:06}", "entity_id": f"4{i}"} for i in range(50)]
+    listed.add(watchlist(spark, *entries))
+    rows = [
+        {"transaction_id": f"T{i}", "card_number": "47" if i % 3 == 0 else f"4{i % 50}"}
+        for i in range(120)
+    ]
+    paid_rows = transactions(spark, *rows)
+    feed.add(paid_rows)
+    hot = hot_keys(paid_rows, "card_number", 8)
+    assert hot == ["47"]
+    query = run(match_cards(feed.stream(), listed.stream(), salts=16, hot=hot), tmp_path)
+    assert len(read(spark, tmp_path)) == 120
+    assert state_rows(query) == 120 + 50 + 15
+
+
+def test_reports_of_more_than_a_hundred_batches_are_kept(spark, feed, tmp_path):
+    """Over two runs; the query object itself remembers a hundred."""
+
+    def batches(first, last):
+        rows = [({"transaction_id": f"T{i}"}, {"amount": -1.0}) for i in range(first, last)]
+        files = transactions(spark, *[row for pair in rows for row in pair])
+        files.repartition(last - first).write.mode("append").parquet(feed.folder)
+        rows = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1)
+        counted = expect_warn(rows.parquet(feed.folder), TRANSACTION_WARN, "warn")
+        keeper = ProgressKeeper(spark, f"{tmp_path}/progress").start()
+        query = append_to_path(counted, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+        finish(query)
+        keeper.stop(query)
+
+    batches(0, 103)
+    batches(103, 106)
+    reports = read_reports(spark, f"{tmp_path}/progress")
+    assert reports.count() > 100
+    counts = {row.rule: row.n for row in kept_counts(reports, "warn").collect()}
+    assert counts == {"rows": 212, "valid_transaction_amount": 106}
+
+
+def test_late_rows_are_kept(spark, feed, tmp_path):
+    keeper = ProgressKeeper(spark, f"{tmp_path}/progress").start()
+    done = []
+    for times in (["2024-01-01 00:10:10"], ["2024-01-01 00:00:30"], ["2024-01-01 00:00:31"]):
+        feed.add(paid(spark, *times))
+        done.append(run(count_tumbling(feed.stream()), tmp_path))
+    keeper.stop(*done)
+    reports = read_reports(spark, f"{tmp_path}/progress")
+    assert [row.late_rows for row in kept_late_rows(reports).collect()] == [2]
 
 
 def test_state_is_in_rocksdb(spark, feed, tmp_path):
