@@ -8,7 +8,10 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cardinel.session import work_folder
+from cardinel.session import settings, work_folder
+
+# Shuffle files of a query are deleted when it ends, not when the driver collects garbage.
+SHUFFLES_GO = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -25,10 +28,12 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """Write a result to the shared work folder and read it back.
 
     Cuts the lineage: what was computed once is not computed again, and a lost
-    executor costs at most the tasks it was running.
+    executor costs at most the tasks it was running. The shuffle files it took are
+    given up at once.
     """
     folder = work_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    with settings(df.sparkSession, SHUFFLES_GO):
+        df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

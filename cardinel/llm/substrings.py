@@ -4,10 +4,10 @@ A byte goes if it lies in a string of 200 bytes that starts elsewhere too. Doubl
 from every position would sort a row for each byte in every round. Here the rounds run
 over fewer positions, without losing any:
 
-1. Rank of 32 bytes. Each window of 200 bytes is placed at one position in it, its
-   anchor: the start of the 32 bytes of smallest hash. Equal windows have equal
-   anchors, and neighbouring windows share theirs, so there is one anchor to some 85
-   bytes. Anchors are ranked by their 32 bytes; the windows of unique ones are unique.
+1. Rank of 100 bytes. Each window of 200 bytes is placed at one position in it, its
+   anchor: the start of the 100 bytes of smallest hash. Equal windows have equal
+   anchors, and neighbouring windows share theirs, so there is one anchor to some 50
+   bytes. Anchors are ranked by their 100 bytes; the windows of unique ones are unique.
 2. Past the threshold at once. The windows of an anchor form a block of 200 bytes or
    more. Blocks are ranked by their bytes; all windows of a block that occurs twice
    are duplicates. This settles the inside of every long copy.
@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardinel.llm.common import saved
-from cardinel.llm.text_arrays import pieces, running, span_hash
+from cardinel.llm.text_arrays import BASE, mix, pieces, running, span_hash
 
 LENGTH = 200
-GRAM = 32
+GRAM = 100
 RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -103,7 +103,7 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _ranks(length: int):
-    """Rows of a text's blocks to a row for each window: rank, its half at the offset."""
+    """A row for each window of a text's blocks: the rank of its halves' pair of ranks."""
     half = length // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,14 +118,15 @@ def _ranks(length: int):
                 block = np.repeat(np.arange(j - i), size)
                 step = np.arange(len(block)) - np.repeat(np.cumsum(size) - size, size)
                 start = at[text][block] + first[i:j][block] + step
+                rank = span_hash(sums, start, start + half)
+                rank = mix(rank * BASE + span_hash(sums, start + half, start + length))
                 columns = [
                     batch.column(0)[row:end].take(pa.array(text[block])),
                     pa.array((start - at[text][block]).astype(np.int32)),
                     pa.array(once[i:j][block].astype(bool)),
-                    pa.array(span_hash(sums, start, start + half).view(np.int64)),
-                    pa.array(span_hash(sums, start + half, start + length).view(np.int64)),
+                    pa.array(rank.view(np.int64)),
                 ]
-                yield pa.record_batch(columns, names=["rid", "start", "once", "rank", "next"])
+                yield pa.record_batch(columns, names=["rid", "start", "once", "rank"])
 
     return run
 
@@ -170,6 +171,7 @@ def find(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     rows = docs.select(F.xxhash64("doc_id", "text").alias("rid"), F.col("text").cast("string"))
     blocks = saved(rows.mapInArrow(_blocks(length), BLOCKS), "substring-blocks")
     grams = blocks.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    grams = saved(grams, "substring-grams")
     again = saved(blocks.join(grams, "gram"), "substring-anchors")
     kinds = again.groupBy("gram", "block").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "first", "last")).alias("one")
@@ -183,13 +185,12 @@ def find(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     open_ = open_.groupBy("rid").agg(
         F.collect_list(F.struct("first", "last", "once")).alias("spans")
     )
-    schema = "rid long, start int, once boolean, rank long, next long"
-    once_each = rows.join(open_, "rid").dropDuplicates(["rid"])
-    starts = once_each.select("rid", "text", "spans").mapInArrow(_ranks(length), schema)
-    starts = saved(starts, "substring-ranks")
-    pairs = starts.groupBy("rank", "next").agg(F.count(F.lit(1)).alias("n"))
-    pairs = pairs.filter("n > 1").select("rank", "next")
-    rims = starts.filter("once").join(pairs, ["rank", "next"])
+    schema = "rid long, start int, once boolean, rank long"
+    texts = rows.join(open_, "rid").select("rid", "text", "spans")
+    starts = saved(texts.mapInArrow(_ranks(length), schema), "substring-ranks")
+    twice = starts.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    twice = saved(twice.select("rank"), "substring-again")
+    rims = starts.filter("once").join(twice, "rank")
     rims = rims.select("rid", F.col("start").alias("first"), F.col("start").alias("last"))
     both = whole.union(rims).groupBy("rid").agg(
         F.sort_array(F.collect_set(F.struct("first", "last"))).alias("spans")
