@@ -118,10 +118,12 @@ def _fit(centroids: int, slack: float):
 def fit(docs: DataFrame, rows: int = 600, centroids: int = 4, slack: float = 0.25) -> Model | None:
     """Learn from the `text` of about `rows` rows of each `lang`; None without any.
 
+    Rows without a language or a letter are not learned from.
+
     A text is rejected if its similarity is below `slack` times the least that any
     training text of the language has.
     """
-    known = docs.filter(F.col("text").isNotNull())
+    known = docs.filter(F.col("text").rlike(r"\p{L}"))
     sample = sample_per_label(known, "lang", rows).select("lang", "text")
     vectors = sample.mapInArrow(_vectors, "lang string, vector binary")
     found = (
