@@ -5,10 +5,13 @@ One hash function numbers the shingles; a sketch retains a set's 64 smallest has
 Of each sketch only the rarest values are listed, as many as two sketches of similar
 sets cannot miss each other with; so common passages make no lists of their own.
 
-A list is not turned into all its pairs. Its members are compared with one of them,
-which joins copies of one text into one component; members still apart after a few
-such rounds are compared with those of other components. Candidates go through an
-estimate from the union of two sketches, and every link is confirmed on full sets.
+A list is not turned into all its pairs. Candidates with more shingles of their own than
+similar sets can differ by go first. Members are compared with one of them, the pivot,
+which joins copies of one text into one component. Members still apart are compared with
+a second one, and then with those of other components, where their distances from the
+pivot and their own shingles allow them to be similar; this is exact, as distances by
+differing shingles are a metric. Such candidates go through an estimate from the union
+of two sketches, and every link is confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -29,7 +32,6 @@ RETAINED = 64
 # Of 64 retained values, similar sets (85 % or more) have 54 in common on average, with a
 # standard deviation of 3; they have 38 (59 %) or more but for one pair in ten million.
 IN_COMMON = 0.6
-ROUNDS = 2
 
 _MIXERS = np.random.default_rng(7).integers(1, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -124,27 +126,103 @@ def rare_lists(classes: DataFrame) -> DataFrame:
     return rows.select(F.col("_x.value").alias("value"), "node", "n_shingles")
 
 
-def _similar_sizes(a: Column, b: Column, percent: int) -> Column:
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def own_shingles(texts: DataFrame, size: int) -> DataFrame:
+    """`nid` and `own`: how many shingles of a candidate no other candidate has.
+
+    Only values that one candidate has are counted back to it, so that no list of the
+    candidates of a value is ever made.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, end, data, at in pieces(batch.column(1)):
+                hashes, owner = shingle_hashes(data, at, size)
+                nid = batch.column(0)[row:end].take(pa.array(owner))
+                yield pa.record_batch([nid, pa.array(hashes.view(np.int64))], names=["nid", "value"])
+
+    rows = texts.select(_nid(), "text").mapInArrow(run, "nid long, value long")
+    once = rows.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.min("nid").alias("nid"))
+    return once.filter("n = 1").groupBy("nid").agg(F.count(F.lit(1)).alias("own"))
+
+
+def _nid() -> Column:
+    return F.xxhash64("node").alias("nid")
+
+
+def _possible(x: str, y: str, percent: int) -> Column:
+    """Whether two sets of these sizes, with that many own shingles, can be similar.
+
+    What either has alone is not in common, and adds to the other in the union.
+    """
+    n, m = F.col(f"{x}n_shingles"), F.col(f"{y}n_shingles")
+    own, other = F.col(f"{x}own"), F.col(f"{y}own")
+    common = F.least(n - own, m - other)
+    return 100 * common >= percent * F.greatest(n + other, m + own)
 
 
-def _pivot_pairs(lists: DataFrame, seed: int, percent: int) -> DataFrame:
-    """Each list's members with one of them, chosen alike in all lists, as pairs.
+def with_pivots(lists: DataFrame) -> DataFrame:
+    """Adds `pivot`, a member of each list, chosen alike in all lists.
 
-    Members of the pivot's component are left out.
+    That is one with few shingles of its own, as it is similar to most.
     """
-    chosen = F.min(F.struct(F.xxhash64(F.lit(seed), "node"), "node", "n_shingles", "component"))
-    pivots = lists.groupBy("value").agg(chosen.alias("_p"))
-    near = _similar_sizes(F.col("n_shingles"), F.col("_p.n_shingles"), percent)
-    apart = F.col("component") != F.col("_p.component")
-    return _pairs(lists.join(pivots, "value").filter(near & apart), F.col("node"), F.col("_p.node"))
+    place = F.struct(F.col("own") / F.col("n_shingles"), F.xxhash64("node"), "node", "n_shingles")
+    pivots = lists.groupBy("value").agg(F.min(place).alias("_p"))
+    pivots = pivots.select("value", F.col("_p.node").alias("pivot"), F.col("_p.n_shingles").alias("pivot_size"))
+    return lists.join(pivots, "value")
+
+
+def with_distances(lists: DataFrame, compared: DataFrame) -> DataFrame:
+    """Adds `delta`, how many shingles only one of a member and its list's pivot has."""
+    known = compared.select(
+        F.col("a").alias("node"), F.col("b").alias("pivot"), F.col("common")
+    ).union(compared.select(F.col("b"), F.col("a"), F.col("common")))
+    delta = F.col("n_shingles") + F.col("pivot_size") - 2 * F.col("common")
+    itself = F.when(F.col("node") == F.col("pivot"), F.lit(0).cast("long"))
+    joined = lists.join(known, ["node", "pivot"], "left")
+    return joined.withColumn("delta", F.coalesce(itself, delta)).drop("common")
+
+
+def _second_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """Members with another one that is not in the component of the list's pivot."""
+    first = lists.filter("node = pivot").select("value", F.col("component").alias("_first"))
+    left = lists.join(first, "value").filter("component <> _first").drop("_first")
+    place = F.struct(F.col("own") / F.col("n_shingles"), F.xxhash64("node"), *PAIRED)
+    chosen = left.groupBy("value").agg(F.min(place).alias("_p"))
+    chosen = chosen.select("value", *[F.col(f"_p.{c}").alias(f"_p_{c}") for c in PAIRED])
+    apart = F.col("component") != F.col("_p_component")
+    joined = lists.join(chosen, "value").filter(apart & _possible("", "_p_", percent))
+    return _pairs(joined, F.col("node"), F.col("_p_node"))
+
+
+PAIRED = ["node", "n_shingles", "own", "component", "delta"]
+
+
+def _apart_by_pivot(x: str, y: str, percent: int) -> Column:
+    """Whether the distances of two sets from the pivot show that they are not similar.
+
+    Of what they differ in from the pivot they can have in common at most what is not
+    their own; the rest of it they differ in from each other. Sets of n and m shingles are
+    similar if they differ in at most (100 - percent) / (100 + percent) of n + m.
+    """
+    d, e = F.col(f"{x}delta"), F.col(f"{y}delta")
+    common = F.least(d - F.col(f"{x}own"), e - F.col(f"{y}own"))
+    differ = d + e - 2 * F.greatest(common, F.lit(0))
+    n = F.col(f"{x}n_shingles") + F.col(f"{y}n_shingles")
+    return F.coalesce((100 + percent) * differ > (100 - percent) * n, F.lit(False))
 
 
 def _cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Members of one list that are in different components, as pairs."""
-    near = _similar_sizes(F.col("x.n_shingles"), F.col("y.n_shingles"), percent)
+    """Members of one list that are in different components, as pairs.
+
+    Of the lists that two sets share, only the one of the smallest value pairs them.
+    """
+    listed = lists.groupBy("node").agg(F.collect_set("value").alias("listed"))
+    lists = saved(lists.join(listed, "node"), "mixed-lists")
     on = (F.col("x.value") == F.col("y.value")) & (F.col("x.component") < F.col("y.component"))
-    joined = lists.alias("x").join(lists.alias("y"), on & near)
+    on &= _possible("x.", "y.", percent) & ~_apart_by_pivot("x.", "y.", percent)
+    shared = F.array_intersect("x.listed", "y.listed")
+    on &= F.col("x.value") == F.array_min(shared)
+    joined = lists.alias("x").join(lists.alias("y"), on)
     return _pairs(joined, F.col("x.node"), F.col("y.node"))
 
 
@@ -166,23 +244,26 @@ def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.filter(common >= IN_COMMON * F.size(union)).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs whose full sets are similar enough."""
+def compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs with the shingles their full sets have in `common`, and whether they are `similar`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
+            common = np.zeros(batch.num_rows, np.int64)
+            similar = np.zeros(batch.num_rows, bool)
             sides = zip(_sets(batch.column(2), size), _sets(batch.column(3), size), strict=True)
             for i, (x, y) in enumerate(sides):
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep[i] = 100 * common >= percent * (len(x) + len(y) - common)
-            yield batch.select([0, 1]).filter(pa.array(keep))
+                common[i] = len(np.intersect1d(x, y, assume_unique=True))
+                similar[i] = 100 * common[i] >= percent * (len(x) + len(y) - common[i])
+            columns = [*batch.columns[:2], pa.array(common), pa.array(similar)]
+            yield pa.record_batch(columns, names=["a", "b", "common", "similar"])
 
     own = texts.select("node", "text")
     both = pairs.join(own.withColumnsRenamed({"node": "a", "text": "_s"}), "a").join(
         own.withColumnsRenamed({"node": "b", "text": "_t"}), "b"
     )
-    return both.select("a", "b", "_s", "_t").mapInArrow(run, "a binary, b binary")
+    schema = "a binary, b binary, common long, similar boolean"
+    return both.select("a", "b", "_s", "_t").mapInArrow(run, schema)
 
 
 def _sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -209,28 +290,35 @@ def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         F.first("sketch").alias("sketch"),
     )
     classes = saved(classes, "classes")
-    lists = rare_lists(classes).withColumn("component", F.col("node"))
-    lists = saved(lists, "rare-lists")
+    lists = saved(rare_lists(classes), "rare-lists")
     # Texts of the sets that share a listed value with another.
     open_ = lists.groupBy("value").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     open_ = lists.join(open_, "value", "left_semi").select("node").distinct()
     wanted = classes.join(open_, "node", "left_semi").select("node", "_row")
     texts = rows.withColumn("_row", row_key(F.col("doc_id"), F.col("_hash"))).join(wanted, "_row")
     texts = saved(texts.select("node", "text").dropDuplicates(["node"]), "candidate-texts")
-    links, groups = None, None
-    for turn in range(ROUNDS + 1):
-        if turn < ROUNDS:
-            pairs = _pivot_pairs(lists, turn, percent)
-        else:
-            pairs = _cross_pairs(lists, percent)
-        pairs = estimated(saved(pairs, "candidate-pairs"), classes)
-        found = saved(confirmed(pairs, texts, size, percent), "new-links")
-        links = found if links is None else links.union(found)
-        groups = saved(components(links), "components")
-        if turn < ROUNDS:
-            lists = _apart(lists, groups)
-            if lists.isEmpty():
-                break
+    own = saved(own_shingles(texts, size), "own-shingles")
+    lists = lists.withColumn("nid", _nid()).join(own, "nid", "left").drop("nid")
+    lists = lists.withColumn("own", F.coalesce("own", F.lit(0)))
+    # A set with more of its own than similar sets can differ by is similar to none.
+    lists = lists.filter(100 * (F.col("n_shingles") - F.col("own")) >= percent * F.col("n_shingles"))
+    lists = saved(lists.withColumn("component", F.col("node")), "rare-lists")
+    # Each list's members with its pivot: links, and distances that rule out others.
+    lists = saved(with_pivots(lists), "pivot-lists")
+    pairs = saved(_pairs(lists.filter("node <> pivot"), F.col("node"), F.col("pivot")), "pairs")
+    found = saved(compared(pairs, texts, size, percent), "pivot-pairs")
+    lists = with_distances(lists, found)
+    links = found.filter("similar").select("a", "b")
+    groups = saved(components(links), "components")
+    for step in (_second_pairs, _cross_pairs):
+        lists = _apart(lists, groups)
+        if lists.isEmpty():
+            break
+        pairs = estimated(saved(step(lists, percent), "pairs"), classes)
+        found = saved(compared(pairs, texts, size, percent).filter("similar"), "new-links")
+        if not found.isEmpty():
+            links = links.union(found.select("a", "b"))
+            groups = saved(components(links), "components")
     least = classes.select("node", "least").join(groups, "node", "left")
     least = least.withColumn("component", F.coalesce("component", "node"))
     ids = least.groupBy("component").agg(F.min("least").alias("component_id"))
