@@ -278,15 +278,15 @@ def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
     Documents are linked if their sets of `size`-word shingles (ASCII capitals as small
     letters) have at least `percent` % of their union in common. `component_id` is the
-    smallest doc_id that links lead to, and `kept` is true where it is the row's own.
-    Null texts and texts without words are linked with nothing. Repeated rows are copies
-    of each other. A null id is never smallest; a group without ids has none.
+    smallest doc_id that links lead to. `kept` is true for one row of each group: the one
+    with that id and, of several, the smallest text hash. Null texts and texts without
+    words are linked with nothing. Repeated rows are copies of each other, and kept alike.
+    A null id is never smallest; a group without ids has none.
     """
     rows = docs.select("doc_id", F.xxhash64("text").alias("_hash"), "text")
     known = saved(sketches(rows, size), "sketches")
     classes = known.filter("node is not null").groupBy("node", "n_shingles").agg(
-        F.min("doc_id").alias("least"),
-        F.min(row_key(F.col("doc_id"), F.col("_hash"))).alias("_row"),
+        F.min(_place()).alias("_row"),
         F.first("sketch").alias("sketch"),
     )
     classes = saved(classes, "classes")
@@ -295,7 +295,7 @@ def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     open_ = lists.groupBy("value").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     open_ = lists.join(open_, "value", "left_semi").select("node").distinct()
     wanted = classes.join(open_, "node", "left_semi").select("node", "_row")
-    texts = rows.withColumn("_row", row_key(F.col("doc_id"), F.col("_hash"))).join(wanted, "_row")
+    texts = rows.withColumn("_row", _place()).join(wanted, "_row")
     texts = saved(texts.select("node", "text").dropDuplicates(["node"]), "candidate-texts")
     own = saved(own_shingles(texts, size), "own-shingles")
     lists = lists.withColumn("nid", _nid()).join(own, "nid", "left").drop("nid")
@@ -319,15 +319,25 @@ def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         if not found.isEmpty():
             links = links.union(found.select("a", "b"))
             groups = saved(components(links), "components")
-    least = classes.select("node", "least").join(groups, "node", "left")
+    least = classes.select("node", "_row").join(groups, "node", "left")
     least = least.withColumn("component", F.coalesce("component", "node"))
-    ids = least.groupBy("component").agg(F.min("least").alias("component_id"))
-    nodes = least.join(ids, "component").select("node", "component_id")
+    # Components are told apart by their own node, as several can have one id, or none.
+    best = least.groupBy("component").agg(F.min("_row").alias("_best"))
+    nodes = least.join(best, "component").select("node", "_best")
     result = known.select("doc_id", "_hash", "n_shingles", "node").join(nodes, "node", "left")
     alone = F.col("node").isNull()
-    return result.withColumn(
-        "component_id", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
-    ).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "_hash")
+    return result.select(
+        "doc_id",
+        "n_shingles",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("_best.doc_id")).alias("component_id"),
+        (alone | _place().eqNullSafe(F.col("_best"))).alias("kept"),
+        "_hash",
+    )
+
+
+def _place() -> Column:
+    """Rows in order of id, those without one last, then text hash."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_hash")
 
 
 def _apart(lists: DataFrame, groups: DataFrame) -> DataFrame:
@@ -342,13 +352,17 @@ def _apart(lists: DataFrame, groups: DataFrame) -> DataFrame:
 def dedupe(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, all columns kept: the one with the smallest id.
 
-    Of rows with one id the one with the smallest text hash stays, and of equal rows one.
+    Of a group's rows with that id the one with the smallest text hash stays, and of equal
+    rows one. Each text without words is a group of its own, so it stays; only if it has
+    an id can it be a repeated row.
     """
     found = group(docs.select("doc_id", "text"), size, percent).filter("kept")
-    best = found.groupBy("doc_id", "component_id").agg(F.min("_hash").alias("_hash"), F.count(F.lit(1)).alias("_n"))
-    best = best.select(row_key(F.col("doc_id"), F.col("_hash")).alias("_key"), "_n")
+    best = found.groupBy("doc_id", "_hash").agg(F.max("n_shingles").alias("_size"), F.count(F.lit(1)).alias("_n"))
+    apart = F.col("doc_id").isNull() & (F.col("_size") == 0)
+    best = best.select(row_key(F.col("doc_id"), F.col("_hash")).alias("_key"), "_n", apart.alias("_apart"))
     best = saved(best, "kept-documents")
     rows = docs.withColumn("_key", row_key(F.col("doc_id"), F.xxhash64("text"))).join(best, "_key")
-    if best.filter("_n > 1").isEmpty():
+    if best.filter("_n > 1 and not _apart").isEmpty():
         return rows.select(*docs.columns)
-    return rows.dropDuplicates(["_key"]).select(*docs.columns)
+    once = rows.filter("not _apart").dropDuplicates(["_key"])
+    return once.union(rows.filter("_apart")).select(*docs.columns)

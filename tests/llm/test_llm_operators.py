@@ -106,6 +106,24 @@ def test_one_of_each_group_stays(spark, docs):
     assert sorted(row.doc_id for row in kept.collect()) == sorted(groups)
 
 
+def test_groups_without_ids_or_with_one_id(spark):
+    """Unrelated texts stay, whether they have no id, or one id twice."""
+    draw = random.Random(21)
+    texts = [words_of(draw, 40) for _ in range(12)]
+    rows = [(None, t) for t in texts[:6]] + [(None, texts[0].upper()), (None, texts[6])]
+    rows += [(None, None), (None, None), (None, ""), (7, texts[7]), (7, texts[8]), (7, None)]
+    rows += [(8, texts[7]), (9, texts[8]), (7, ""), (7, texts[7]), (5, texts[6])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in neardup.dedupe(df).collect()]
+    first = [t for d, t in kept if d is None and t and t.lower() == texts[0].lower()]
+    assert len(first) == 1
+    want = [(None, t) for t in [*first, *texts[1:6], None, None, ""]]
+    want += [(7, texts[7]), (7, texts[8]), (7, None), (7, ""), (5, texts[6])]
+    assert sorted(kept, key=repr) == sorted(want, key=repr)
+    found = neardup.group(df).filter("kept and doc_id is null and n_shingles > 0")
+    assert found.count() == 6
+
+
 def test_contamination(spark, docs, none):
     texts = [t for _, t in PAIRS if t]
     long = next(t for t in texts if len(t.split()) > 100).split()
