@@ -2,8 +2,9 @@
 
 A text becomes a vector of hashed letter n-grams, weighted by rarity and scaled to
 length one. Each language has several centroids, found by spherical k-means, and a
-text goes to the language of the closest one. A text that is much farther from its
-centroid than any of the training texts is rejected.
+text goes to the language of the closest one. A text is rejected if it is much farther
+from its centroid than nearly all training texts of its length are from centroids that
+were found without them.
 """
 
 from __future__ import annotations
@@ -25,6 +26,11 @@ from cardinel.llm.text_arrays import pieces
 BUCKETS_LOG2 = 12
 BUCKETS = 1 << BUCKETS_LOG2
 UNDETERMINED = "und"
+# Limits are set for lengths of 1, 2, 4 ... n-grams. Texts weigh less the more their length
+# differs: by a bell curve as wide as one doubling, or as it takes to reach so many texts.
+LENGTHS = 24
+NEAREST = 50
+FOLDS = 4
 PREDICTION = "lang_pred string, score double, rejected boolean"
 
 # Letters only: capitals become small, other ASCII characters a space.
@@ -39,7 +45,7 @@ class Model:
     rarity: np.ndarray
     centroids: np.ndarray  # a row each
     languages: list[str]  # of the centroids
-    least: np.ndarray  # similarity below which a text is rejected, of the centroids
+    least: np.ndarray  # similarity below which a text is rejected, by centroid and length
 
 
 def counts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -97,38 +103,77 @@ def _clusters(vectors: np.ndarray, number: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
-def _fit(centroids: int, slack: float):
+def _length(frequencies: np.ndarray) -> np.ndarray:
+    """Number of n-grams as a power of two."""
+    return np.minimum(np.log2(np.maximum(frequencies.sum(1), 1)), LENGTHS - 1)
+
+
+def _held_out(vectors: np.ndarray, centroids: int) -> np.ndarray:
+    """Similarity of each text to the nearest centroid of the other folds' texts."""
+    fold = np.arange(len(vectors)) % FOLDS
+    found = np.zeros(len(vectors))
+    for k in range(min(FOLDS, len(vectors))):
+        centres = _clusters(vectors[fold != k], centroids)
+        found[fold == k] = (vectors[fold == k] @ centres.T).max(1)
+    return found
+
+
+def _limits(similar: np.ndarray, length: np.ndarray, low: float, slack: float) -> np.ndarray:
+    """For each length, `slack` times the weighted quantile `low` of texts of like length."""
+    out = np.zeros(LENGTHS)
+    order = np.argsort(similar, kind="stable")
+    similar, length = similar[order], length[order]
+    for k in range(LENGTHS if len(similar) else 0):
+        apart = np.abs(length - k)
+        width = max(1.0, float(np.sort(apart)[min(NEAREST, len(apart)) - 1]))
+        weight = np.cumsum(np.exp(-((apart / width) ** 2) / 2))
+        out[k] = slack * similar[np.searchsorted(weight, low * weight[-1])]
+    return out
+
+
+def _fit(centroids: int, low: float, slack: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["lang", "vector"])
         frequencies = np.stack([np.frombuffer(x, np.float32) for x in rows["vector"]])
         rarity = np.log((1 + len(rows)) / (1 + (frequencies > 0).sum(0))) + 1
         rarity = rarity.astype(np.float32)
         vectors = _weighted(frequencies, rarity)
-        out = [(None, rarity.tobytes(), 0.0)]
+        length = _length(frequencies)
+        out = [(None, rarity.tobytes(), None)]
+        lone, similar = [], np.full(len(rows), np.nan)
+        for language in rows["lang"].unique():
+            mine = (rows["lang"] == language).to_numpy()
+            # One text has none to be compared with: it gets the limits of all languages.
+            lone += [language] if mine.sum() == 1 else []
+            similar[mine] = np.nan if mine.sum() == 1 else _held_out(vectors[mine], centroids)
+        known = ~np.isnan(similar)
         for language in rows["lang"].unique():
-            own = vectors[(rows["lang"] == language).to_numpy()]
-            centres = _clusters(own, centroids)
-            least = slack * float((own @ centres.T).max(1).min())
+            mine = (rows["lang"] == language).to_numpy()
+            texts = known if language in lone else mine
+            least = _limits(similar[texts], length[texts], low, slack).tobytes()
+            centres = _clusters(vectors[mine], centroids)
             out += [(language, c.astype(np.float32).tobytes(), least) for c in centres]
         return pd.DataFrame(out, columns=["lang", "vector", "least"])
 
     return run
 
 
-def fit(docs: DataFrame, rows: int = 600, centroids: int = 4, slack: float = 0.25) -> Model | None:
+def fit(
+    docs: DataFrame, rows: int = 600, centroids: int = 4, low: float = 0.02, slack: float = 0.75
+) -> Model | None:
     """Learn from the `text` of about `rows` rows of each `lang`; None without any.
 
     Rows without a language or a letter are not learned from.
 
-    A text is rejected if its similarity is below `slack` times the least that any
-    training text of the language has.
+    A text is rejected if its similarity is below `slack` times the quantile `low` of
+    what training texts of the language and of like length have when they are held out.
     """
     known = docs.filter(F.col("text").rlike(r"\p{L}"))
     sample = sample_per_label(known, "lang", rows).select("lang", "text")
     vectors = sample.mapInArrow(_vectors, "lang string, vector binary")
     found = (
         vectors.groupBy()
-        .applyInPandas(_fit(centroids, slack), "lang string, vector binary, least double")
+        .applyInPandas(_fit(centroids, low, slack), "lang string, vector binary, least binary")
         .collect()
     )
     if not found:
@@ -139,7 +184,7 @@ def fit(docs: DataFrame, rows: int = 600, centroids: int = 4, slack: float = 0.2
         rarity,
         np.stack([np.frombuffer(r["vector"], np.float32) for r in own]),
         [r["lang"] for r in own],
-        np.array([r["least"] for r in own]),
+        np.stack([np.frombuffer(r["least"]) for r in own]),
     )
 
 
@@ -158,16 +203,19 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
-            best, score = np.zeros(n, np.int64), np.zeros(n)
+            best, score, least = np.zeros(n, np.int64), np.zeros(n), np.ones(n)
             for row, end, data, at in pieces(batch.column(text_at)) if model else ():
-                near = _weighted(counts(data, at), model.rarity) @ model.centroids.T
+                frequencies = counts(data, at)
+                near = _weighted(frequencies, model.rarity) @ model.centroids.T
                 best[row:end] = near.argmax(1)
                 score[row:end] = near.max(1)
+                length = np.rint(_length(frequencies)).astype(np.int64)
+                least[row:end] = model.least[best[row:end], length]
             clear = batch.column(len(rest)).to_numpy(zero_copy_only=False).astype(bool)
             clear &= model is not None
             names = np.array([*(model.languages if model else ()), UNDETERMINED], object)
             score = np.where(clear, np.clip(score, 0, 1), 0.0)
-            rejected = ~clear | (score < (model.least[best] if model else 1.0))
+            rejected = ~clear | (score < least)
             columns = [names[np.where(clear, best, -1)], score, rejected]
             kinds = [pa.string(), pa.float64(), pa.bool_()]
             yield pa.record_batch(

@@ -1,5 +1,6 @@
 """Operators on small tables with nulls, empty and long texts, ties and repeated rows."""
 
+import base64
 import math
 import random
 from collections import Counter, defaultdict
@@ -266,6 +267,28 @@ def test_language(spark, none):
     assert language.identify(strange.withColumn("score", F.lit("x")), None).first().lang_pred == "und"
 
 
+def test_unlearned_languages_and_noise_are_rejected(spark):
+    draw = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    strange = [
+        "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, che la diritta "
+        "via era smarrita. Ahi quanto a dir qual era e cosa dura esta selva selvaggia e aspra",
+        "Litwo ojczyzno moja ty jesteś jak zdrowie ile cię trzeba cenić ten tylko się dowie "
+        "kto cię stracił dziś piękność twą w całej ozdobie widzę i opisuję bo tęsknię",
+        "Mieleni minun tekevi aivoni ajattelevi lähteäni laulamahan saa'ani sanelemahan "
+        "sukuvirttä suoltamahan lajivirttä laulamahan",
+    ]
+    strange += [x * 8 for x in strange] + [words_of(draw, n, letters) for n in (5, 40, 400)]
+    strange += [base64.b64encode(draw.randbytes(n)).decode() for n in (30, 300, 3000)]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(docs)
+    df = spark.createDataFrame(list(enumerate(strange)), "doc_id long, text string")
+    kept = language.identify(df, model).filter("not rejected").select("doc_id").collect()
+    assert kept == []
+    clean = docs.filter("text is not null and length(text) > 0")
+    assert language.identify(clean, model).filter("rejected").count() <= 0.01 * clean.count()
+
+
 def test_quality(spark, docs):
     draw = random.Random(6)
     rows, labels = [], []
