@@ -2,8 +2,9 @@
 
 For each language and source, and each measure, a quantile sketch counts texts in
 buckets of equal ratio. Such sketches merge by adding counts and give every quantile
-within a fixed relative error; small groups use the merged sketch of their language,
-or of everything. A text fails where it lies far outside its group's middle half.
+within a fixed relative error. A text fails where it lies far outside its group's middle
+half; the limits of small groups are drawn to those of their language, and these to those
+of everything.
 """
 
 from __future__ import annotations
@@ -18,18 +19,23 @@ SYMBOLS = "[#*$%&|<>]"
 # Buckets of the sketch: quantiles are within one percent.
 RATIO = 1.02
 LEAST = 1e-4
-# A group with fewer texts uses the sketch one level up.
-GROUP_TEXTS = 100
+# The limits one level up count as much as so many texts of a group.
+PRIOR_TEXTS = 10
 # Widths of the middle half that a text may lie outside of it.
 REACH = 6.0
-# Each measure: whether low values are bad too, and the least distance allowed.
+# A text may lie so many times as far out as an outer quantile is from the median. The
+# outermost one that stays below the measure's cap is taken: beyond it are bad texts.
+OUTER = (0.98, 0.95, 0.9)
+OUTER_REACH = 3.0
+# Each measure: whether low values are bad too, and the cap, which is also the distance
+# allowed where no outer quantile differs from the median or all are above it.
 MEASURES: dict[str, tuple[bool, float]] = {
     "word_length": (True, 3.0),
     "symbols_per_word": (False, 0.25),
     "marks_per_word": (False, 0.75),
     "capital_share": (False, 0.3),
-    "dup_line_share": (False, 0.5),
-    "repeat_share": (False, 0.3),
+    "dup_line_share": (False, 0.3),
+    "repeat_share": (False, 0.2),
     "echo_share": (False, 0.2),
 }
 
@@ -104,12 +110,16 @@ def measured(docs: DataFrame) -> DataFrame:
     return rows.withColumn("measures", measures).drop("_lines", "_words", "_capitals", "_marks")
 
 
+def _base_failed() -> Column:
+    return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+
+
 def sketches(rows: DataFrame) -> DataFrame:
-    """Counts of texts by lang, source, measure and bucket, of texts with a word."""
+    """Counts of texts by lang, source, measure and bucket, of texts that pass the base rules."""
     each = [F.struct(F.lit(m).alias("measure"), F.col(f"measures.{m}").alias("value")) for m in MEASURES]
     bucket = F.floor(F.log(F.greatest("value", F.lit(LEAST))) / F.log(F.lit(RATIO)))
     return (
-        rows.filter("n_words > 0")
+        rows.filter(~_base_failed())
         .select("lang", "source", F.inline(F.array(*each)))
         .groupBy("lang", "source", "measure", bucket.alias("bucket"))
         .agg(F.count(F.lit(1)).alias("n"))
@@ -132,34 +142,47 @@ def limits(sketch: DataFrame, by: list[str]) -> DataFrame:
         return F.min(F.when(F.col("_upto") >= F.col("_all") * p, value))
 
     low, high = F.col("_q1"), F.col("_q3")
-    least = F.create_map(*[F.lit(x) for m, (_, d) in MEASURES.items() for x in (m, d)])[F.col("measure")]
+    cap = F.create_map(*[F.lit(x) for m, (_, d) in MEASURES.items() for x in (m, d)])[F.col("measure")]
     two_sided = F.col("measure").isin(*[m for m, (both, _) in MEASURES.items() if both])
-    reach = F.greatest(REACH * (high - low), least)
+
+    def reach(side: str) -> Column:
+        apart = [OUTER_REACH * F.abs(F.col(f"_{side}{i}") - F.col("_q2")) for i in range(len(OUTER))]
+        outer = F.coalesce(*[F.when((x > 0) & (x < cap), x) for x in apart], cap)
+        return F.greatest(REACH * (high - low), outer)
+
+    outer = [quantile(q).alias(f"_{side}{i}") for i, p in enumerate(OUTER) for side, q in (("up", p), ("down", 1 - p))]
+    middle = [quantile(k / 4).alias(f"_q{k}") for k in (1, 2, 3)]
     bounds = (
         placed.groupBy(*keys)
-        .agg(quantile(0.25).alias("_q1"), quantile(0.75).alias("_q3"), F.max("_all").alias("_n"))
+        .agg(*middle, *outer, F.max("_all").alias("_n"))
         .select(
             *keys,
             "_n",
             F.struct(
-                F.when(two_sided, low - reach).otherwise(F.lit(-1.0)).alias("low"),
-                (high + reach).alias("high"),
+                F.when(two_sided, low - reach("down")).otherwise(F.lit(-1.0)).alias("low"),
+                (high + reach("up")).alias("high"),
             ).alias("_bounds"),
         )
     )
     columns = [F.first(F.when(F.col("measure") == m, F.col("_bounds")), True).alias(m) for m in MEASURES]
     return bounds.groupBy(*by).agg(F.max("_n").alias("_n"), *columns).select(
         F.struct(*[F.col(c) for c in by]).alias("_key") if by else F.lit(True).alias("_key"),
-        F.when(F.col("_n") >= (GROUP_TEXTS if by else 1), F.struct(*MEASURES)).alias("_limits"),
+        F.struct("_n", *MEASURES).alias("_limits"),
     )
 
 
+def _drawn(own: Column, above: Column, measure: str, side: str) -> Column:
+    """A group's limit, drawn to the one a level up by the number of its texts."""
+    weight = own["_n"] / (own["_n"] + PRIOR_TEXTS)
+    return F.coalesce(weight * own[measure][side] + (1 - weight) * above, above)
+
+
 def judge(docs: DataFrame) -> DataFrame:
     """Adds counts, `base_failed`, `failed` (names of measures out of range) and `kept`.
 
     Null texts count as empty; a text with fewer than 20 words, or with more than 30 % of
     its words in repeated windows, fails at the base. Null languages and sources are
-    groups of their own. The text is dropped.
+    groups of their own. Limits are set by the texts that pass the base. The text is dropped.
     """
     rows = saved(measured(docs).drop("text"), "rule-measures")
     sketch = saved(sketches(rows), "rule-sketches")
@@ -171,17 +194,21 @@ def judge(docs: DataFrame) -> DataFrame:
         found = found.withColumn(f"_own{i}", key)
         found = found.join(own, F.col(f"_own{i}") == F.col(f"_key{i}"), "left")
         names.append(f"_limits{i}")
-    limit = F.coalesce(*names)
+    group, language, whole = [F.col(name) for name in names]
+
+    def limit(measure: str, side: str) -> Column:
+        above = _drawn(language, whole[measure][side], measure, side)
+        return _drawn(group, above, measure, side)
+
     failed = [
         F.when(
-            (F.col(f"measures.{m}") > limit[m]["high"]) | (F.col(f"measures.{m}") < limit[m]["low"]),
+            (F.col(f"measures.{m}") > limit(m, "high")) | (F.col(f"measures.{m}") < limit(m, "low")),
             F.lit(m),
         )
         for m in MEASURES
     ]
-    base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return (
-        found.withColumn("base_failed", base)
+        found.withColumn("base_failed", _base_failed())
         .withColumn("failed", F.array_compact(F.array(*failed)))
         .withColumn("kept", ~F.col("base_failed") & (F.size("failed") == 0))
         .drop(*names, "_key0", "_key1", "_key2", "_own0", "_own1", "_own2")

@@ -179,6 +179,31 @@ def test_rule_limits_follow_the_group(spark):
     assert "symbols_per_word" in failed[1000]
 
 
+def test_rule_limits_follow_the_spread(spark):
+    """Repeats below the base limit fail in a clean group, and pass where they are common."""
+    draw = random.Random(12)
+    schema = "doc_id long, text string, lang string, source string"
+
+    def text(repeated, words=100):
+        head = words_of(draw, 10, "abcdefghijklmnop")
+        return " ".join([head] * (repeated // 10) + [words_of(draw, words - repeated, "abcdefghijklmnop")])
+
+    def lines(repeated):
+        return "\n".join([words_of(draw, 5)] * repeated + [words_of(draw, 5) for _ in range(20 - repeated)])
+
+    clean = [(i, text(0), "en", "a") for i in range(300)]
+    odd = [(1000, text(30, 105), "en", "a"), (1001, lines(9), "en", "a")]
+    few = [(2000 + i, text(0), "en", "few") for i in range(3)] + [(3000, text(30, 105), "en", "few")]
+    found = {r.doc_id: r for r in rules.judge(spark.createDataFrame(clean + odd + few, schema)).collect()}
+    assert not found[1000].base_failed and "repeat_share" in found[1000].failed
+    assert not found[3000].base_failed and "repeat_share" in found[3000].failed
+    assert "dup_line_share" in found[1001].failed
+    assert sum(not r.kept for i, r in found.items() if i < 1000 or 2000 <= i < 3000) == 0
+    common = [(i, text(30 * (i % 2), 105), "en", "b") for i in range(300)]
+    found = rules.judge(spark.createDataFrame(common, schema))
+    assert found.filter("array_contains(failed, 'repeat_share')").count() == 0
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_targets(spark, seed):
     draw = random.Random(seed)
