@@ -1,9 +1,11 @@
 """Conversations from messages that quote each other.
 
 Lines that begin with `>` are quotations, nested by the number of marks. What a message
-says itself, and each passage that it quotes, is normalised and hashed; a quoted passage
-belongs to the earliest message that says it. A message replies to the latest of
-the messages that it quotes at the lowest level, and replies make conversations.
+says itself, and each passage that it quotes, is normalised and hashed, whole, by paragraphs
+and by lines; each of these belongs to the earliest message that says it. A passage that
+is not quoted whole goes to the message that most of it belongs to. A message replies to
+the latest of the messages that it quotes at the lowest level, and replies make
+conversations.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ def normalised(text: Column) -> Column:
 def passages(text: Column) -> Column:
     """Runs of lines with one quotation level: `level` and `text` without the marks.
 
-    Blank lines end no passage; lines that introduce a quotation are left out where
+    Blank lines end no passage, but one is left between its paragraphs; lines that introduce a quotation are left out where
     a quotation follows.
     """
     lines = F.transform(
@@ -43,38 +45,61 @@ def passages(text: Column) -> Column:
 
         def add(done: Column, line: Column) -> Column:
             last = F.element_at(done, -1)
-            same = (F.size(done) > 0) & (last["level"] == line["level"])
-            joined = F.struct(line["level"].alias("level"), F.concat(last["text"], F.lit("\n"), line["text"]).alias("text"))
+            empty = F.trim(line["text"]) == ""
+            same = (F.size(done) > 0) & ((last["level"] == line["level"]) | empty)
+            line = F.struct(line["level"].alias("level"), F.when(empty, "").otherwise(line["text"]).alias("text"))
+            joined = F.struct(last["level"].alias("level"), F.concat(last["text"], F.lit("\n"), line["text"]).alias("text"))
             return F.when(
                 same, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(joined))
-            ).otherwise(F.concat(done, F.array(line)))
+            ).otherwise(F.when(empty, done).otherwise(F.concat(done, F.array(line))))
 
         kept = F.filter(own, lambda x, i: ~(
             x["text"].rlike(INTRODUCTION)
             & (F.coalesce(F.get(own, i + 1)["level"], F.lit(0)) > x["level"])
         ))
-        kept = F.filter(kept, lambda x: F.trim(x["text"]) != "")
-        return F.aggregate(kept, F.array().cast(blank), add)
+        return F.transform(
+            F.aggregate(kept, F.array().cast(blank), add),
+            lambda x: F.struct(x["level"].alias("level"), F.regexp_replace(x["text"], r"\n+\z", "").alias("text")),
+        )
 
     return let(lines, build)
 
 
+def units(text: Column) -> Column:
+    """A passage (`kind` 2), its paragraphs (1) and lines (0), where they are not the same."""
+
+    def parts(kind: int, cut: str) -> Column:
+        own = F.transform(F.split(text, cut), normalised)
+        return F.transform(
+            F.when(F.size(own) > 1, own).otherwise(F.array()),
+            lambda x: F.struct(F.lit(kind).alias("kind"), F.xxhash64(x).alias("hash"), F.length(x).alias("size")),
+        )
+
+    whole = normalised(text)
+    first = F.struct(F.lit(2).alias("kind"), F.xxhash64(whole).alias("hash"), F.length(whole).alias("size"))
+    found = F.concat(F.array(first), parts(1, r"\n\n+"), parts(0, r"\n+"))
+    return F.filter(found, lambda x: x["size"] > 0)
+
+
 def link(messages: DataFrame, scope: list[str]) -> DataFrame:
     """Adds `body` (without quotations), `quotes` and `reply_to` to messages.
 
     Messages come as `message_id`, `sent` (any order) and `text`, with `scope` columns
     that say which messages can quote each other (all, if empty). A quotation of
     nothing known, or of a later message only, links to nothing. Of messages with one
-    text the earliest is the original.
+    text the earliest is the original. If a passage is not the whole of what somebody
+    said, its paragraphs, or else its lines, must belong by half to one earlier message.
+    `quotes` is the number of passages that link.
     """
     split = messages.withColumn("_passages", passages(F.col("text")))
     own = F.filter("_passages", lambda x: x["level"] == 0)
     quotes = F.filter("_passages", lambda x: x["level"] > 0)
     split = saved(
-        split.withColumn("body", F.array_join(F.transform(own, lambda x: x["text"]), "\n"))
-        .withColumn("_own", F.transform(own, lambda x: F.xxhash64(normalised(x["text"]))))
-        .withColumn("_quotes", F.transform(quotes, lambda x: F.struct(
-            x["level"].alias("level"), F.xxhash64(normalised(x["text"])).alias("hash"))))
+        split.withColumn("body", F.regexp_replace(
+            F.array_join(F.transform(own, lambda x: x["text"]), "\n"), r"\n\n+", "\n"))
+        .withColumn("_own", F.flatten(F.transform(own, lambda x: F.transform(units(x["text"]), lambda u: u["hash"]))))
+        .withColumn("_quotes", F.transform(quotes, lambda x, i: F.struct(
+            i.alias("run"), x["level"].alias("level"), units(x["text"]).alias("units"))))
         .drop("_passages"),
         "messages",
     )
@@ -87,9 +112,17 @@ def link(messages: DataFrame, scope: list[str]) -> DataFrame:
     place = F.struct(*[F.col(c) for c in scope], F.col("hash")).alias("_place")
     originals = said.groupBy(place).agg(F.min("_said").alias("_said"))
     asked = split.select("message_id", "sent", *scope, F.inline("_quotes"))
+    asked = asked.withColumn("_whole", F.element_at("units", 1)["size"])
+    asked = asked.select("message_id", "sent", *scope, "run", "level", "_whole", F.inline("units"))
     asked = asked.withColumn("_place", F.struct(*[F.col(c) for c in scope], F.col("hash")))
     earlier = F.col("_said") < F.struct("sent", "message_id")
     found = asked.join(originals, "_place").filter(earlier)
+    found = found.groupBy("message_id", "run", "level", "_whole", "kind", "_said").agg(F.sum("size").alias("_size"))
+    # Blanks between paragraphs or lines are in the whole only.
+    found = found.filter(2 * F.col("_size") >= F.col("_whole") - 1)
+    found = found.groupBy("message_id", "run", "level").agg(
+        F.max(F.struct("kind", "_size", "_said"))["_said"].alias("_said")
+    )
     # The lowest level first, then the latest message.
     best = found.groupBy("message_id").agg(
         F.max(F.struct(-F.col("level"), F.col("_said"))).alias("_best"),

@@ -416,6 +416,27 @@ def test_conversations(spark):
     assert conversations.build(df.filter("false"), ["list"]).count() == 0
 
 
+def test_trimmed_and_inline_quotes(spark):
+    long = "First paragraph\nof two lines.\n\nSecond one.\n \nThird one, with\nthree\nlines in it."
+    mail = [
+        ("m1", 1, long),
+        ("m2", 2, "> Second one.\n\nTrimmed to one paragraph."),
+        ("m3", 3, "> First paragraph\n> of two lines.\n\nyes\n\n> Third one, with\n> three\n> lines in it.\n\nno"),
+        ("m4", 4, "> Second one.\n> \n> Third one, with\n> three\n> lines in it.\n\nTwo paragraphs."),
+        ("m5", 5, "> three\n> lines in it.\n\nTwo lines of one."),
+        ("m6", 6, "> > Second one.\n> Trimmed to one paragraph.\nNested."),
+        ("m7", 7, "> yes\n\nOne answer."),
+        ("m8", 8, "> three\n> entirely different words that nobody has said here\n\nStrange."),
+        ("m9", 9, "> Second one.\n> [...]\n> Third one, with\n> three\n> lines in it.\n\nWith a cut."),
+    ]
+    df = spark.createDataFrame(mail, "message_id string, sent long, text string")
+    built = {r.message_id: r for r in conversations.build(df, []).collect()}
+    want = dict(m2="m1", m3="m1", m4="m1", m5="m1", m6="m2", m7="m3", m9="m1")
+    assert {k: r.reply_to for k, r in built.items() if r.reply_to} == want
+    assert built["m1"].body == "First paragraph\nof two lines.\nSecond one.\nThird one, with\nthree\nlines in it."
+    assert built["m3"].quotes == 2 and built["m3"].body == "yes\nno"
+
+
 def test_quoted_chats_come_back(spark):
     turns = [
         (c, t, "user", f"text {c} {t}" if (c, t) != (2, 1) else "> text kept?")
