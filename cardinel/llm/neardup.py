@@ -17,6 +17,7 @@ of two sketches, and every link is confirmed on full sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +30,23 @@ from cardinel.llm.components import components
 from cardinel.llm.text_arrays import mix, pieces, word_hashes
 
 RETAINED = 64
-# Of 64 retained values, similar sets (85 % or more) have 54 in common on average, with a
-# standard deviation of 3; they have 38 (59 %) or more but for one pair in ten million.
-IN_COMMON = 0.6
+# How often at most two sketches of sets just similar enough have too few in common.
+MISSED = 1e-6
 
 _MIXERS = np.random.default_rng(7).integers(1, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def in_common(percent: int) -> float:
+    """Share of retained values that sketches of similar sets have in common, but for MISSED."""
+    p, least, below = percent / 100, 0, 0.0
+    while least < RETAINED:
+        below += comb(RETAINED, least) * p**least * (1 - p) ** (RETAINED - least)
+        if below > MISSED:
+            break
+        least += 1
+    return least / RETAINED
+
+
 def shingle_hashes(
     data: np.ndarray, at: np.ndarray, size: int
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -100,10 +111,10 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     return docs.select(*rest, F.col("text").cast("string")).mapInArrow(run, schema)
 
 
-def rare_lists(classes: DataFrame) -> DataFrame:
+def rare_lists(classes: DataFrame, percent: int) -> DataFrame:
     """Rows of value, node and set size: the rarest values of each sketch, if shared.
 
-    Two sketches with at least the share IN_COMMON of their values in common have one of
+    Two sketches with at least the share `in_common` of their values in common have one of
     these among them: the values in the order of rarity, without the last ones that
     are one fewer than they must have in common.
     """
@@ -112,7 +123,7 @@ def rare_lists(classes: DataFrame) -> DataFrame:
     )
     counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     counts = saved(counts, "shared-values")
-    listed = F.col("_kept") - F.ceil(F.col("_kept") * IN_COMMON) + 1
+    listed = F.col("_kept") - F.ceil(F.col("_kept") * in_common(percent)) + 1
     # At most 64 rows of a node are sorted, as an array.
     shared = (
         values.join(counts, "value")
@@ -230,7 +241,7 @@ def _pairs(df: DataFrame, a: Column, b: Column) -> DataFrame:
     return df.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
-def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sketches have enough of their union's smallest values in common."""
     own = classes.select("node", "sketch")
     both = pairs.join(own.withColumnsRenamed({"node": "a", "sketch": "_s"}), "a").join(
@@ -241,7 +252,7 @@ def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     s, t = flip(F.col("_s")), flip(F.col("_t"))
     union = F.slice(F.array_sort(F.array_union(s, t)), 1, RETAINED)
     common = F.size(F.array_intersect(F.array_intersect(s, t), union))
-    return both.filter(common >= IN_COMMON * F.size(union)).select("a", "b")
+    return both.filter(common >= in_common(percent) * F.size(union)).select("a", "b")
 
 
 def compared(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -290,7 +301,7 @@ def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         F.first("sketch").alias("sketch"),
     )
     classes = saved(classes, "classes")
-    lists = saved(rare_lists(classes), "rare-lists")
+    lists = saved(rare_lists(classes, percent), "rare-lists")
     # Texts of the sets that share a listed value with another.
     open_ = lists.groupBy("value").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     open_ = lists.join(open_, "value", "left_semi").select("node").distinct()
@@ -314,7 +325,7 @@ def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         lists = _apart(lists, groups)
         if lists.isEmpty():
             break
-        pairs = estimated(saved(step(lists, percent), "pairs"), classes)
+        pairs = estimated(saved(step(lists, percent), "pairs"), classes, percent)
         found = saved(compared(pairs, texts, size, percent).filter("similar"), "new-links")
         if not found.isEmpty():
             links = links.union(found.select("a", "b"))

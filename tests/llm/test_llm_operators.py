@@ -107,6 +107,21 @@ def test_one_of_each_group_stays(spark, docs):
     assert sorted(row.doc_id for row in kept.collect()) == sorted(groups)
 
 
+def test_links_at_a_low_threshold(spark):
+    """Pairs with exactly 60 % of their words in common."""
+    rows = []
+    for k in range(12):
+        common = [f"c{k}x{i}" for i in range(150)]
+        rows += [(2 * k + j, " ".join(common + [f"o{k}x{j}x{i}" for i in range(50)])) for j in (0, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = neardup.sketches(df, 1).cache()
+    left = classes.filter("doc_id % 2 = 0").selectExpr("doc_id + 1 as doc_id", "node as a")
+    pairs = left.join(classes, "doc_id").selectExpr("a", "node as b")
+    assert neardup.estimated(pairs, classes, 60).count() == 12
+    # A fixed share of 0.6, which 85 % still has, loses some of them.
+    assert neardup.in_common(85) == 39 / 64 and neardup.estimated(pairs, classes, 85).count() < 12
+
+
 def test_groups_without_ids_or_with_one_id(spark):
     """Unrelated texts stay, whether they have no id, or one id twice."""
     draw = random.Random(21)
