@@ -107,8 +107,25 @@ select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id,
 from least left join sizes using (doc_id)
 """
 
+CAPTURES = r"""
+with hashed as (
+    select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages
+), placed as (
+    select *, first_value(page_id) over same as first_id, row_number() over same as place
+    from hashed window same as (partition by html order by page_id nulls last)
+)
+select page_id, strlen(html)::bigint as payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        ((('0x' || substr(hex, (5 * (i // 4) + 1)::int, 5))::bigint >> (15 - 5 * (i % 4))::int) & 31)::int
+        + 1, 1)), '') as payload_digest,
+    case when place = 1 then 'response' else 'revisit' end as record_type,
+    case when place > 1 then first_id end as refers_to
+from placed
+"""
+
 QUERIES = {
     "op5_source_mixing": MIXING,
     "op6_decontamination": DECONTAMINATION,
     "op7_near_dedup": NEAR_GROUPS,
+    "op12_warc": CAPTURES,
 }

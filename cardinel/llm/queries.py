@@ -16,9 +16,11 @@ from cardinel.llm import (
     neardup,
     oracle,
     quality,
+    repair,
     rules,
     sharding,
     substrings,
+    warc,
 )
 from cardinel.llm.common import saved, table
 
@@ -94,6 +96,14 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.audits(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digests(warc.archived(table(spark, sf_dir, "pages")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_substring_dedup": op2_substring_dedup,
@@ -105,6 +115,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_sharding": op9_sharding,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_structure_repair": op11_structure_repair,
+    "op12_warc": op12_warc,
 }
 
 ORACLE_SQL = oracle.QUERIES
