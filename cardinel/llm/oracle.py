@@ -123,9 +123,56 @@ select page_id, strlen(html)::bigint as payload_bytes,
 from placed
 """
 
+PHRASES = r"""
+with texts as (
+    select coalesce(lang, 'und') as lang, translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+    from documents
+), pieces as (
+    select lang, regexp_extract_all(unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')),
+        '[^\x20\x09]+') as w
+    from texts
+), totals as (
+    select lang, sum(len(w))::bigint as n from pieces group by lang
+), grams as (
+    select lang, k, unnest(list_transform(range(1, len(w) - k + 2),
+        lambda i: array_to_string(w[i:i + k - 1], ' '))) as phrase
+    from pieces, unnest(range(1, 6)) as t(k) where len(w) >= k
+), counts as (
+    select lang, k, phrase, count(*)::bigint as f from grams group by lang, k, phrase
+    having count(*) >= 100
+), split as (
+    select lang, k, phrase, f as a, string_split(phrase, ' ') as w from counts where k >= 2
+), cuts as (
+    select split.lang, phrase, a, c, array_to_string(w[1:c], ' ') as head,
+        array_to_string(w[c + 1:k], ' ') as tail
+    from split, unnest(range(1, 5)) as t(c) where c < k
+), scores as (
+    select cuts.lang, cuts.phrase, cuts.a, c, x.f as l, y.f as r, n,
+        ((1000 * cuts.a::hugeint * n) // (x.f::hugeint * y.f))::bigint as score
+    from cuts join counts x on x.lang = cuts.lang and x.phrase = head
+        join counts y on y.lang = cuts.lang and y.phrase = tail
+        join totals on totals.lang = cuts.lang
+), best as (
+    select * from scores qualify row_number() over (partition by lang, phrase order by score, c) = 1
+), inner_phrases as (
+    select lang, unnest(flatten(list_transform(range(2, k), lambda m:
+        list_transform(range(1, k - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))))) as phrase, a
+    from split
+), longest as (
+    select lang, phrase, max(a) as longer from inner_phrases group by lang, phrase
+), ranked as (
+    select lang, phrase, a, l, r, n, score, row_number() over (partition by lang
+        order by score desc, a desc, encode(phrase)) as rank
+    from best left join longest using (lang, phrase) where longer is null or 100 * longer < 100 * a
+)
+select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
+"""
+
 QUERIES = {
     "op5_source_mixing": MIXING,
     "op6_decontamination": DECONTAMINATION,
     "op7_near_dedup": NEAR_GROUPS,
     "op12_warc": CAPTURES,
+    "op13_phrase_mining": PHRASES,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardinel.llm import (
+    collocations,
     conversations,
     decontamination,
     language,
@@ -104,6 +105,10 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digests(warc.archived(table(spark, sf_dir, "pages")))
 
 
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_substring_dedup": op2_substring_dedup,
@@ -117,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat_formatting": op10_chat_formatting,
     "op11_structure_repair": op11_structure_repair,
     "op12_warc": op12_warc,
+    "op13_phrase_mining": op13_phrase_mining,
 }
 
 ORACLE_SQL = oracle.QUERIES

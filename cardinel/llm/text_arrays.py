@@ -58,13 +58,15 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def pieces(
+    column: pa.Array, size: int = PIECE_BYTES, rows: int = PIECE_ROWS
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """First and last row, bytes and offsets of runs of texts of a bounded size."""
     data, at = utf8(column)
     row, n = 0, len(at) - 1
     while row < n:
-        end = int(np.searchsorted(at, at[row] + PIECE_BYTES, "right")) - 1
-        end = min(max(end, row + 1), row + PIECE_ROWS, n)
+        end = int(np.searchsorted(at, at[row] + size, "right")) - 1
+        end = min(max(end, row + 1), row + rows, n)
         yield row, end, data[at[row] : at[end]], at[row : end + 1] - at[row]
         row = end
 
