@@ -80,8 +80,8 @@ class Reader:
         return b"".join(have)
 
     def skip(self, mark: bytes) -> bool:
-        if len(self.data) - self.at < len(mark):
-            self._more()
+        while len(self.data) - self.at < len(mark) and self._more():
+            pass
         if self.data.startswith(mark, self.at):
             self.at += len(mark)
             return True
