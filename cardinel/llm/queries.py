@@ -102,7 +102,7 @@ def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.digests(warc.archived(table(spark, sf_dir, "pages")))
+    return warc.digests(warc.archived(table(spark, sf_dir, "pages"), payloads=False))
 
 
 def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:

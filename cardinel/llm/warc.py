@@ -227,10 +227,11 @@ def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
     return files.mapInArrow(_parse(payloads), RECORD)
 
 
-def assemble(spark: SparkSession, folder: str) -> DataFrame:
+def assemble(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
     """One row per capture with all records of its transaction.
 
-    `capture` is the response, revisit or resource with its payload; `requests` and
+    `capture` is the response, revisit or resource with its payload (null if not asked
+    for: then files are read once instead of twice); `requests` and
     `metadata` are arrays of records, in order of file and offset, and `others` has
     records of other types that name it. `original` has record id, target, size and
     digest of what a revisit refers to, if that is in the folder too. Records that lead
@@ -266,9 +267,11 @@ def assemble(spark: SparkSession, folder: str) -> DataFrame:
         of_type(kind == "metadata").alias("metadata"),
         of_type(~kind.isin("request", "metadata")).alias("others"),
     )
-    full = read(spark, folder).filter(is_capture).join(firsts, "record_id").filter(place == F.col("_at"))
-    captures = full.select(
-        F.col("record_id").alias("capture_id"), "refers_to", F.struct(*[F.col(c) for c in [*SLIM, "payload"]]).alias("capture")
+    full = own
+    if payloads:
+        full = read(spark, folder).join(firsts, "record_id").filter(place == F.col("_at"))
+    captures = full.filter(is_capture).select(
+        F.col("record_id").alias("capture_id"), "refers_to", fields.alias("capture")
     )
     named = unique.filter(is_capture & F.col("refers_to").isNotNull()).select(F.col("refers_to").alias("record_id")).distinct()
     original = own.join(named, "record_id", "left_semi").select(
@@ -308,17 +311,17 @@ def _owners(unique: DataFrame, is_capture: Column) -> DataFrame:
         reached = found
 
 
-def archived(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
+def archived(pages: DataFrame, least_bytes: int = 0, payloads: bool = True) -> DataFrame:
     """Pages written to an archive in the work folder, and its captures read back."""
     folder = work_folder(pages.sparkSession, "warc")
     write(pages, folder, "2024-01-01T00:00:00Z", least_bytes)
-    return assemble(pages.sparkSession, folder)
+    return assemble(pages.sparkSession, folder, payloads)
 
 
 def digests(captures: DataFrame, page_type: str = "long") -> DataFrame:
     """What the archive has of each page: size, digest, and what a revisit refers to.
 
-    Sizes and digests of revisits are those of the record they refer to.
+    Both are taken from payloads as they were read, not from what headers say. Sizes and digests of revisits are those of the record they refer to.
     """
     page = F.get_json_object(F.decode(F.get("metadata", F.lit(0))["payload"], "UTF-8"), "$.page_id").cast(page_type)
     revisit = F.col("capture.warc_type") == "revisit"

@@ -52,6 +52,7 @@ def test_pages_come_back(spark, least):
     for name in ("value", "file", "page", "copy", "content", "digest", "capture", "n"):
         df = df.withColumn(name, F.lit("mine"))
     assert tuples(warc.digests(warc.archived(df, least))) == expected(PAGES, least)
+    assert tuples(warc.digests(warc.archived(df, least, payloads=False))) == expected(PAGES, least)
 
 
 def test_no_pages(spark):
