@@ -1,14 +1,18 @@
 """The dashboard's queries over the transaction and alert tables.
 
-Reports that keep only the first rows break ties by the label or alert id, so
+They come in three ways: each by itself, all transaction reports from one scan
+(`refresh`), or from summaries that every batch of the tables keeps up to date
+(`summarised`), which reads as many rows as there are labels and reported alerts. Reports that keep only the first rows break ties by the label or alert id, so
 that they give the same rows every time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from cardinel.streaming.folds import Fold, first_rows, sums
 
 # Rows kept by the top reports and the recent alerts, the unit of
 # the volume, and the labels of the two scopes.
@@ -158,13 +162,138 @@ def refresh(
     return _datasets(kept, tumbling_counts, limit_alerts, card_alerts)
 
 
+# Labels of the card alert reports, counted together.
+ALERT_LABELS = ("reason_code", "risk_level")
+
+
+def alert_overview(card_alerts: DataFrame) -> DataFrame:
+    """The counts behind all card alert reports, from one scan."""
+    sets = [[F.col(label)] for label in ALERT_LABELS] + [[]]
+    return card_alerts.groupingSets(sets, *ALERT_LABELS).agg(
+        F.grouping_id().alias("level"), F.count(F.lit(1)).alias("alert_count")
+    )
+
+
+def _text(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+
+
+TRANSACTIONS = Fold(
+    _text(*LABELS[:3])
+    .add("is_international", "boolean")
+    .add("level", "long")
+    .add("transaction_count", "long")
+    .add("amount", "double"),
+    transaction_overview,
+    sums([*LABELS, "level"], ["transaction_count", "amount"]),
+)
+CARD_ALERT_COUNTS = Fold(
+    _text(*ALERT_LABELS).add("level", "long").add("alert_count", "long"),
+    alert_overview,
+    sums([*ALERT_LABELS, "level"], ["alert_count"]),
+)
+LIMIT_ALERT_COUNT = Fold(
+    T.StructType().add("limit_exceeded_alerts", "long"),
+    limit_exceeded_count,
+    lambda parts: parts.agg(
+        F.coalesce(F.sum("limit_exceeded_alerts"), F.lit(0)).alias("limit_exceeded_alerts")
+    ),
+)
+
+
+def _kept_latest(schema: T.StructType, report) -> Fold:
+    """The latest alerts; those of one time and id in the order of their other columns."""
+    order = {"alert_timestamp": False, "alert_id": True} | dict.fromkeys(schema.names[2:], True)
+    return Fold(schema, report, first_rows(order, RECENT))
+
+
+RECENT_LIMIT_ALERTS = _kept_latest(
+    T.StructType()
+    .add("alert_id", "string")
+    .add("alert_timestamp", "timestamp")
+    .add("customer_name", "string")
+    .add("customer_email", "string")
+    .add("transaction_amount", "double")
+    .add("transaction_limit", "double")
+    .add("currency", "string")
+    .add("merchant_name", "string")
+    .add("merchant_category", "string")
+    .add("payment_channel", "string")
+    .add("city", "string")
+    .add("status", "string"),
+    recent_limit_alerts,
+)
+RECENT_CARD_ALERTS = _kept_latest(
+    T.StructType()
+    .add("alert_id", "string")
+    .add("alert_timestamp", "timestamp")
+    .add("customer_name", "string")
+    .add("customer_email", "string")
+    .add("card_number", "string")
+    .add("amount", "double")
+    .add("currency", "string")
+    .add("merchant_name", "string")
+    .add("merchant_category", "string")
+    .add("transaction_city", "string")
+    .add("risk_level", "string")
+    .add("reason_code", "string")
+    .add("watch_type", "string"),
+    recent_fraud_alerts,
+)
+
+# What the batches of each table keep up to date.
+OF_TRANSACTIONS = {"transactions": TRANSACTIONS}
+OF_LIMIT_ALERTS = {"limit_alert_count": LIMIT_ALERT_COUNT, "recent_limit_alerts": RECENT_LIMIT_ALERTS}
+OF_CARD_ALERTS = {"card_alert_counts": CARD_ALERT_COUNTS, "recent_card_alerts": RECENT_CARD_ALERTS}
+
+
+def summarised(
+    spark: SparkSession, folder: str, tumbling_counts: DataFrame
+) -> dict[str, DataFrame]:
+    """All datasets from the summaries in the folder, under the names of the folds."""
+
+    def read(folds: dict[str, Fold], name: str) -> DataFrame:
+        return folds[name].read(spark, f"{folder}/{name}")
+
+    alerts = read(OF_CARD_ALERTS, "card_alert_counts")
+
+    def alert_counts(label: str) -> DataFrame:
+        return _ranked(_level(alerts, [label], ALERT_LABELS).select(label, "alert_count"), label, "alert_count")
+
+    total = _level(alerts, [], ALERT_LABELS)
+    recent_limit = read(OF_LIMIT_ALERTS, "recent_limit_alerts")
+    recent_card = read(OF_CARD_ALERTS, "recent_card_alerts")
+    return _transaction_datasets(read(OF_TRANSACTIONS, "transactions")) | {
+        "txn_by_minute": txn_by_minute(tumbling_counts),
+        "fraud_card_alerts_count": total.agg(
+            F.coalesce(F.sum("alert_count"), F.lit(0)).alias("fraud_card_alerts")
+        ),
+        "fraud_by_reason": alert_counts("reason_code"),
+        "fraud_by_risk": alert_counts("risk_level"),
+        "limit_exceeded_count": read(OF_LIMIT_ALERTS, "limit_alert_count"),
+        "recent_limit_alerts": _latest(recent_limit),
+        "recent_fraud_alerts": _latest(recent_card),
+    }
+
+
 def _datasets(
     overview: DataFrame,
     tumbling_counts: DataFrame,
     limit_alerts: DataFrame,
     card_alerts: DataFrame,
 ) -> dict[str, DataFrame]:
+    return _transaction_datasets(overview) | {
+        "txn_by_minute": txn_by_minute(tumbling_counts),
+        "fraud_card_alerts_count": fraud_card_alerts_count(card_alerts),
+        "fraud_by_reason": fraud_by_reason(card_alerts),
+        "fraud_by_risk": fraud_by_risk(card_alerts),
+        "limit_exceeded_count": limit_exceeded_count(limit_alerts),
+        "recent_limit_alerts": recent_limit_alerts(limit_alerts),
+        "recent_fraud_alerts": recent_fraud_alerts(card_alerts),
+    }
+
 
+def _transaction_datasets(overview: DataFrame) -> dict[str, DataFrame]:
     def counts(label: str) -> DataFrame:
         return _level(overview, [label]).select(label, "transaction_count")
 
@@ -173,28 +302,21 @@ def _datasets(
         "txn_by_merchant": _ranked(
             counts("merchant_category"), "merchant_category", "transaction_count"
         ).limit(TOP),
-        "txn_by_minute": txn_by_minute(tumbling_counts),
-        "fraud_card_alerts_count": fraud_card_alerts_count(card_alerts),
-        "fraud_by_reason": fraud_by_reason(card_alerts),
         "intl_vs_domestic": _scoped(counts("is_international")),
         "top_cities": _ranked(counts("city"), "city", "transaction_count").limit(TOP),
-        "fraud_by_risk": fraud_by_risk(card_alerts),
-        "limit_exceeded_count": limit_exceeded_count(limit_alerts),
-        "recent_limit_alerts": recent_limit_alerts(limit_alerts),
-        "recent_fraud_alerts": recent_fraud_alerts(card_alerts),
-        "total_transactions": total.select(
-            F.col("transaction_count").alias("total_transactions")
+        "total_transactions": total.agg(
+            F.coalesce(F.sum("transaction_count"), F.lit(0)).alias("total_transactions")
         ),
         "txn_by_channel": _ranked(
             counts("payment_channel"), "payment_channel", "transaction_count"
         ),
-        "total_volume": total.select(_millions(F.col("amount")).alias("total_volume_m")),
+        "total_volume": total.agg(_millions(F.sum("amount")).alias("total_volume_m")),
     }
 
 
-def _level(overview: DataFrame, kept: list[str]) -> DataFrame:
+def _level(overview: DataFrame, kept: list[str], labels: tuple[str, ...] = LABELS) -> DataFrame:
     """Rows of one grouping set: the grouping id has a bit for each absent label."""
-    bits = ["0" if label in kept else "1" for label in LABELS]
+    bits = ["0" if label in kept else "1" for label in labels]
     return overview.filter(F.col("level") == int("".join(bits), 2))
 
 

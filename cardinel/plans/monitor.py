@@ -27,19 +27,18 @@ from cardinel.operators.quality import (
     CUSTOMER_DROP,
     TRANSACTION_DROP,
     TRANSACTION_WARN,
-    expect_drop,
-    expect_warn,
+    Expectation,
 )
 from cardinel.operators.windows import count_sliding, count_tumbling
-from cardinel.plans.dashboard import refresh
+from cardinel.plans import dashboard
 from cardinel.plans.notifications import render_card_notifications, render_limit_notifications
 from cardinel.operators.skew import hot_keys
 from cardinel.schemas import CUSTOMER, WATCHLIST
 from cardinel.session import prepare
 from cardinel.sources import envelope, infer_schema, parse_watchlist, stream_json_lines
-from cardinel.streaming.batches import BATCH, append_batches
+from cardinel.streaming.batches import BATCH, append_batches, rule_totals
+from cardinel.streaming.folds import Fold
 from cardinel.streaming.outbox import attach_outbox
-from cardinel.streaming.progress import ProgressKeeper, kept_counts, read_reports
 from cardinel.streaming.runner import (
     CATCH_UP,
     PARTITIONS,
@@ -69,7 +68,8 @@ SLIDING_COUNTS = "gold.transaction_count_by_minute_sliding_window"
 class StreamTable:
     """A table fed by one stream, and what the stream is.
 
-    With `enrich` each micro-batch is transformed with tables as they are then.
+    With `enrich` each micro-batch is transformed with tables as they are then, checked by
+    the `expectations`, and followed by the `folds` that keep summaries of it.
     """
 
     name: str
@@ -78,6 +78,8 @@ class StreamTable:
     protected: bool = False
     stateful: bool = False
     enrich: Callable[[DataFrame], DataFrame] | None = None
+    expectations: tuple[Expectation, ...] = ()
+    folds: Mapping[str, Fold] = field(default_factory=dict)
 
     @property
     def quality(self) -> str:
@@ -96,7 +98,8 @@ class Monitor:
     for as long as the checkpoints live. The cards that are hot when matching begins are
     spread over the salts. With `infer`, fields that the watchlist's files have beyond the
     fixed ones become columns of the bronze table; the first run's schema is kept.
-    `table_format` is that of all tables. Reports of all batches are kept in `progress`.
+    `table_format` is that of all tables. Rule counts and the dashboard's summaries are kept
+    by the batches that write the rows they are of.
     `limits` bounds the micro-batches of every stream that reads files or tables
     (`maxFilesPerTrigger`, `maxBytesPerTrigger`), so that a long backlog is worked
     off in steps; the messages are bounded by their own source.
@@ -114,7 +117,6 @@ class Monitor:
     infer: bool = False
     table_format: str = "parquet"
     limits: Mapping[str, str] = field(default_factory=dict)
-    _keepers: list[ProgressKeeper] = field(default_factory=list, repr=False, compare=False)
 
     def set_up(self) -> None:
         """Create the layers and tables that are missing."""
@@ -130,6 +132,7 @@ class Monitor:
             CUSTOMER,
             "Customer records as delivered",
             "bronze",
+            table_format=self.table_format,
         )
         for stage in self.stages():
             for table in stage:
@@ -152,7 +155,6 @@ class Monitor:
     def run_once(self) -> list[StreamingQuery]:
         """Take in everything that has arrived, table by table, then stop."""
         self.set_up()
-        keeper = ProgressKeeper(self.spark, self.progress).start()
         done = []
         for stage in self.stages():
             queries = [self._start(table, CATCH_UP) for table in stage]
@@ -160,7 +162,6 @@ class Monitor:
             done += queries
         queries = self._start_outboxes(CATCH_UP)
         finish(*queries)
-        keeper.stop(*done, *queries)
         return done + queries
 
     def start(self, trigger: Mapping[str, object]) -> list[StreamingQuery]:
@@ -170,7 +171,6 @@ class Monitor:
         alerts, and readers start on tables that their writers have committed to.
         """
         self.run_once()
-        self._keepers.append(ProgressKeeper(self.spark, self.progress).start())
         queries = [self._start(table, trigger) for stage in self.stages() for table in stage]
         return queries + self._start_outboxes(trigger)
 
@@ -178,30 +178,32 @@ class Monitor:
         """Stop what `start` started."""
         for query in queries:
             query.stop()
-        while self._keepers:
-            self._keepers.pop().stop(*queries)
 
     def rule_counts(self, metric: str) -> DataFrame:
-        """Rows and violations of all batches ever run, as `rule` and `n`."""
-        return kept_counts(read_reports(self.spark, self.progress), metric)
+        """Rows and violations of all batches ever written, as `rule` and `n`."""
+        table = next(
+            table.name
+            for stage in self.stages()
+            for table in stage
+            if any(e.metric == metric for e in table.expectations)
+        )
+        return rule_totals(self.spark, self.counts(table), metric)
 
     def dashboard(self) -> dict[str, DataFrame]:
-        """The dashboard's datasets by name, from the tables as they are now."""
-        return refresh(
-            self._snapshot(SILVER_TRANSACTIONS),
-            self._snapshot(TUMBLING_COUNTS),
-            self._snapshot(LIMIT_ALERTS),
-            self._snapshot(CARD_ALERTS),
-            f"{self.folder}/dashboard",
+        """The dashboard's datasets by name, from the summaries that the batches keep.
+
+        No transaction or alert is read again, however many there are.
+        """
+        return dashboard.summarised(
+            self.spark, f"{self.folder}/dashboard", self._snapshot(TUMBLING_COUNTS)
         )
 
     def table(self, name: str) -> str:
         """The name in the catalog."""
         return self.prefix + name
 
-    @property
-    def progress(self) -> str:
-        return f"{self.folder}/progress"
+    def counts(self, table: str) -> str:
+        return f"{self.folder}/rules/{table}"
 
     def checkpoint(self, name: str) -> str:
         return f"{self.folder}/checkpoints/{name}"
@@ -231,7 +233,15 @@ class Monitor:
             ],
             [
                 StreamTable(
-                    SILVER_TRANSACTIONS, "Typed and checked transactions", self._transactions
+                    SILVER_TRANSACTIONS,
+                    "Typed and checked transactions",
+                    lambda: self._stream(BRONZE_TRANSACTIONS),
+                    enrich=parse_transactions,
+                    expectations=(
+                        Expectation("transactions_warn", TRANSACTION_WARN),
+                        Expectation("transactions_drop", TRANSACTION_DROP, drop=True),
+                    ),
+                    folds=dashboard.OF_TRANSACTIONS,
                 ),
                 StreamTable(
                     SILVER_WATCHLIST,
@@ -240,7 +250,12 @@ class Monitor:
                     protected=True,
                 ),
                 StreamTable(
-                    SILVER_CUSTOMERS, "Checked customers", self._customers, protected=True
+                    SILVER_CUSTOMERS,
+                    "Checked customers",
+                    lambda: self._stream(BRONZE_CUSTOMERS),
+                    protected=True,
+                    enrich=clean_customers,
+                    expectations=(Expectation("customers_drop", CUSTOMER_DROP, drop=True),),
                 ),
             ],
             [
@@ -249,6 +264,7 @@ class Monitor:
                     "Transactions above their customer's limit",
                     lambda: self._stream(SILVER_TRANSACTIONS),
                     enrich=lambda batch: limit_alerts(batch, self._customers_now(batch)),
+                    folds=dashboard.OF_LIMIT_ALERTS,
                 ),
                 StreamTable(
                     CARD_MATCHES,
@@ -275,19 +291,11 @@ class Monitor:
                     "Card matches with their customer",
                     lambda: self._stream(CARD_MATCHES),
                     enrich=lambda batch: alert_matches(batch, self._customers_now(batch)),
+                    folds=dashboard.OF_CARD_ALERTS,
                 ),
             ],
         ]
 
-    def _transactions(self) -> DataFrame:
-        parsed = parse_transactions(self._stream(BRONZE_TRANSACTIONS))
-        warned = expect_warn(parsed, TRANSACTION_WARN, "transactions_warn")
-        return expect_drop(warned, TRANSACTION_DROP, "transactions_drop")
-
-    def _customers(self) -> DataFrame:
-        cleaned = clean_customers(self._stream(BRONZE_CUSTOMERS))
-        return expect_drop(cleaned, CUSTOMER_DROP, "customers_drop")
-
     def _watchlist_schema(self) -> StructType:
         if not self.infer:
             return WATCHLIST
@@ -328,7 +336,16 @@ class Monitor:
     def _start(self, table: StreamTable, trigger: Mapping[str, object]) -> StreamingQuery:
         name, checkpoint = self.table(table.name), self.checkpoint(table.name)
         if table.enrich:
-            return append_batches(table.build(), table.enrich, name, checkpoint, trigger)
+            return append_batches(
+                table.build(),
+                table.enrich,
+                name,
+                checkpoint,
+                trigger,
+                [fold.step(f"{self.folder}/dashboard/{kept}") for kept, fold in table.folds.items()],
+                table.expectations,
+                self.counts(table.name),
+            )
         return append_to_table(
             table.build(),
             name,
@@ -352,6 +369,7 @@ class Monitor:
                 self.checkpoint(f"outbox.{table}"),
                 self.notify,
                 trigger,
+                self.table(table),
             )
             for table, render in renderers.items()
         ]

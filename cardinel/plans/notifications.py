@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardinel.functions import mask_card, money, risk_colour, shown, shown_time, yes_no
+from cardinel.streaming.batches import BATCH
 
 # How the subject lines begin.
 LIMIT_SUBJECT = "⚠️ Limit-Exceeded Transaction Alert - "
@@ -97,7 +98,8 @@ def _notification(
 ) -> DataFrame:
     """The body is NULL if an amount is; without body or address it cannot go out.
 
-    Whether it can is read from the amounts, so that counting renders nothing.
+    Whether it can is read from the amounts, so that counting renders nothing. The batch
+    that raised an alert goes with it, if it is known.
     """
     complete = reduce(and_, [F.col(name).isNotNull() for name in amounts])
     addressed = F.coalesce(F.col("customer_email") != "", F.lit(False))
@@ -107,6 +109,7 @@ def _notification(
         subject.alias("subject"),
         body.alias("body"),
         (addressed & complete).alias("deliverable"),
+        *[name for name in alerts.columns if name == BATCH],
     )
 
 

@@ -1,6 +1,7 @@
 """Running streams: table sinks, declared tables, the outbox and progress."""
 
-from cardinel.streaming.batches import append_batches
+from cardinel.streaming.batches import append_batches, rule_totals
+from cardinel.streaming.folds import Fold, FoldLost, first_rows, sums
 from cardinel.streaming.outbox import attach_outbox, outbox_stats, read_outbox, write_outbox
 from cardinel.streaming.progress import (
     ProgressKeeper,
@@ -21,6 +22,8 @@ from cardinel.streaming.runner import (
 from cardinel.streaming.tables import create_layers, declare, reset, table_properties
 
 __all__ = [
+    "Fold",
+    "FoldLost",
     "ProgressKeeper",
     "StateChanged",
     "append_batches",
@@ -30,6 +33,7 @@ __all__ = [
     "create_layers",
     "declare",
     "finish",
+    "first_rows",
     "kept_counts",
     "kept_late_rows",
     "kept_state",
@@ -39,7 +43,9 @@ __all__ = [
     "read_outbox",
     "read_reports",
     "reset",
+    "rule_totals",
     "state_rows",
+    "sums",
     "table_properties",
     "write_outbox",
 ]

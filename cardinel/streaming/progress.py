@@ -2,7 +2,9 @@
 
 A query object remembers its last hundred reports only, and forgets them when it stops.
 The keeper writes each one to a folder, under the query's id (which lives as long as
-its checkpoint) and the batch; a batch that is run again overwrites its own report.
+its checkpoint) and the batch; a batch that is run again overwrites its own report. A
+report comes after its batch, so that one may be missing if the driver dies; counts that
+must be exact belong to the batch itself, as in `append_batches`.
 """
 
 from __future__ import annotations
@@ -27,16 +29,22 @@ class ProgressKeeper(StreamingQueryListener):
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self.ended: dict[str, threading.Event] = defaultdict(threading.Event)
+        self.failed: list[Exception] = []
 
     def start(self) -> ProgressKeeper:
         self.spark.streams.addListener(self)
         return self
 
-    def stop(self, *queries: StreamingQuery, seconds: float = 60) -> None:
-        """Wait until the reports of stopped queries are kept, then keep no more."""
+    def stop(self, *queries: StreamingQuery) -> None:
+        """Wait until all reports of stopped queries are kept, then keep no more.
+
+        However long that takes; raises the error of a report that could not be written.
+        """
         for query in queries:
-            self.ended[str(query.runId)].wait(seconds)
+            self.ended[str(query.runId)].wait()
         self.spark.streams.removeListener(self)
+        if self.failed:
+            raise self.failed[0]
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -48,7 +56,12 @@ class ProgressKeeper(StreamingQueryListener):
         self.ended[str(event.runId)].set()
 
     def onQueryProgress(self, event) -> None:
-        progress = event.progress
+        try:
+            self._keep(event.progress)
+        except Exception as error:  # it would only be logged, and the report be missing
+            self.failed.append(error)
+
+    def _keep(self, progress) -> None:
         late = sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
         metrics = {name: row.asDict() for name, row in progress.observedMetrics.items()}
         row = self.spark.createDataFrame([(progress.name, late, json.dumps(metrics))], REPORT)

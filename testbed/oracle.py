@@ -489,6 +489,8 @@ QUERIES = {
     """,
 }
 
+QUERIES["dashboard_incremental"] = QUERIES["dashboard_datasets"]
+
 
 def statement(name: str) -> str:
     """A query with the steps it needs in front."""

@@ -23,7 +23,12 @@ from cardinel.operators import (
     rule_counts,
 )
 from cardinel.operators.alerts import alert_matches, match_cards
-from cardinel.operators.quality import CUSTOMER_DROP, TRANSACTION_DROP, TRANSACTION_WARN
+from cardinel.operators.quality import (
+    CUSTOMER_DROP,
+    TRANSACTION_DROP,
+    TRANSACTION_WARN,
+    Expectation,
+)
 from cardinel.operators.skew import hot_keys
 from cardinel.plans import dashboard
 from cardinel.plans import monitor as job
@@ -45,19 +50,19 @@ from cardinel.sources import (
     stream_json_lines,
 )
 from cardinel.streaming import (
-    ProgressKeeper,
+    append_batches,
     append_to_path,
     append_to_table,
     attach_outbox,
     create_layers,
     declare,
     finish,
-    kept_counts,
     outbox_stats,
     read_outbox,
-    read_reports,
+    rule_totals,
     table_properties,
 )
+from cardinel.streaming.batches import BATCH
 from cardinel.streaming.tables import LAYERS
 from testbed import mapping
 
@@ -205,17 +210,30 @@ def expectation_metrics_customers(spark: SparkSession, folder: str) -> DataFrame
 
 @registered
 def expectation_metrics_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The counts a stream reports along with its progress, from where they are kept."""
+    """The counts of all batches of a stream, kept by the batches that write its rows."""
     work = work_folder(spark, "expectation_metrics")
-    rows = silver_transactions_of_stream(spark, folder)
-    keeper = ProgressKeeper(spark, f"{work}/progress").start()
-    query = append_to_path(rows, f"{work}/data", f"{work}/checkpoint")
-    finish(query)
-    keeper.stop(query)
-    reports = read_reports(spark, f"{work}/progress")
-    counts = kept_counts(reports, "warn").union(kept_counts(reports, "drop")).distinct()
+    layer = f"checked_{work.rsplit('-', 1)[1]}"
+    checked = Expectation("warn", TRANSACTION_WARN), Expectation("drop", TRANSACTION_DROP, drop=True)
+    _in_batches(spark, folder, work, layer, expectations=checked, counts=f"{work}/rules")
+    counts = rule_totals(spark, f"{work}/rules", "warn").union(
+        rule_totals(spark, f"{work}/rules", "drop").filter("rule <> 'rows'")
+    )
     names = ["rows", *TRANSACTION_WARN, *TRANSACTION_DROP]
-    return counts.groupBy().pivot("rule", names).agg(F.first("n"))
+    return _and_dropped(counts.groupBy().pivot("rule", names).agg(F.first("n")), [layer])
+
+
+def _in_batches(spark: SparkSession, folder: str, work: str, layer: str, **more) -> str:
+    """Transactions appended to a table from messages that came in eight files, two a batch."""
+    arrived = mapping.messages(spark, folder)
+    arrived.repartition(8, "offset").write.parquet(f"{work}/arrived")
+    stream = spark.readStream.schema(arrived.schema).option("maxFilesPerTrigger", 2)
+    create_layers(spark, [layer], f"{work}/tables")
+    table = f"{layer}.transactions"
+    rows = parse_transactions(envelope(arrived)).withColumn(BATCH, F.lit(""))
+    declare(spark, table, rows.schema, "Transactions", "silver", partition_by=[BATCH])
+    messages = stream.parquet(f"{work}/arrived")
+    finish(append_batches(envelope(messages), parse_transactions, table, f"{work}/point", **more))
+    return table
 
 
 @registered
@@ -428,7 +446,7 @@ def notification_stats(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def outbox_stream(spark: SparkSession, folder: str) -> DataFrame:
     """A stream of alerts rendered into the outbox, batch by batch."""
-    return read_outbox(spark, _filled_outbox(spark, folder)).drop("query_id")
+    return read_outbox(spark, _filled_outbox(spark, folder)).drop("query_id", "upstream")
 
 
 @registered
@@ -514,7 +532,37 @@ def dashboard_datasets(spark: SparkSession, folder: str) -> DataFrame:
         card_alerts_table(spark, folder),
         work_folder(spark, "dashboard"),
     )
-    # Of the long rows, what names the alert and its customer.
+    return _report_rows(datasets)
+
+
+@registered
+def dashboard_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """All reports from the summaries that the batches of a stream have kept."""
+    work = work_folder(spark, "dashboard_incremental")
+    layer = f"summed_{work.rsplit('-', 1)[1]}"
+    stamp = F.col("transaction_timestamp")
+    people = silver_customers_table(spark, folder)
+    entries = silver_watchlist_table(spark, folder)
+
+    def summaries(rows: DataFrame, writer: str, number: int) -> None:
+        parts = {
+            "transactions": (dashboard.OF_TRANSACTIONS, rows),
+            "limit": (dashboard.OF_LIMIT_ALERTS, limit_alerts(rows, people, now=stamp)),
+            "card": (dashboard.OF_CARD_ALERTS, card_alerts(rows, entries, people, now=stamp)),
+        }
+        for folds, part in parts.values():
+            for name, fold in folds.items():
+                fold.add(part, f"{work}/dashboard/{name}", writer, number)
+
+    checked = [Expectation("drop", TRANSACTION_DROP, drop=True)]
+    more = {"expectations": checked, "counts": f"{work}/rules", "steps": [summaries]}
+    table = _in_batches(spark, folder, work, layer, **more)
+    minutes = count_tumbling(spark.read.table(table))
+    return _and_dropped(_report_rows(dashboard.summarised(spark, f"{work}/dashboard", minutes)), [layer])
+
+
+def _report_rows(datasets: dict[str, DataFrame]) -> DataFrame:
+    """All reports as text rows under their names; of the long rows, what names the alert."""
     alert = ["alert_id", "alert_timestamp", "customer_name", "currency", "merchant_name"]
     columns = {name: df.columns for name, df in datasets.items()}
     columns |= {"recent_limit_alerts": alert, "recent_fraud_alerts": alert}
