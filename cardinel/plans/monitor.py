@@ -6,9 +6,10 @@
     files ─► bronze.watchlist ─► silver.watchlist ─► gold.card_matches
                                                         └─► gold.fraud_card_alerts ─► outbox
 
-Card matching keeps state, so it is a query of its own that touches nothing but
-the two streams. Limit alerts and card alerts join customers as they are when a
-micro-batch runs; adaptive execution plans these joins by the real sizes.
+Card matching joins each batch of transactions and entries with all earlier ones, which
+are kept as files by card; `match_by="state"` keeps them in the state of a stream-stream
+join instead. Limit alerts and card alerts join customers as they are when a micro-batch
+runs; adaptive execution plans all these joins by the real sizes.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ from cardinel.session import prepare
 from cardinel.sources import envelope, infer_schema, parse_watchlist, stream_json_lines
 from cardinel.streaming.batches import BATCH, append_batches, rule_totals
 from cardinel.streaming.folds import Fold
+from cardinel.streaming.history import append_joined
 from cardinel.streaming.outbox import attach_outbox
 from cardinel.streaming.runner import (
     CATCH_UP,
@@ -69,7 +71,8 @@ class StreamTable:
     """A table fed by one stream, and what the stream is.
 
     With `enrich` each micro-batch is transformed with tables as they are then, checked by
-    the `expectations`, and followed by the `folds` that keep summaries of it.
+    the `expectations`, and followed by the `folds` that keep summaries of it. With
+    `joined` it has the card matches of two streams.
     """
 
     name: str
@@ -80,6 +83,11 @@ class StreamTable:
     enrich: Callable[[DataFrame], DataFrame] | None = None
     expectations: tuple[Expectation, ...] = ()
     folds: Mapping[str, Fold] = field(default_factory=dict)
+    joined: tuple[Callable[[], DataFrame], Callable[[], DataFrame]] | None = None
+
+    @property
+    def in_batches(self) -> bool:
+        return self.enrich is not None or self.joined is not None
 
     @property
     def quality(self) -> str:
@@ -94,9 +102,10 @@ class Monitor:
     outboxes and, if `own_layers`, the tables. `messages` gives the Kafka stream.
     Customer records are appended to `bronze.customers` by their own loader.
     `prefix` goes before every layer, to keep several jobs in one catalog apart.
-    `salts` are those of `match_cards`, and `partitions` the state partitions; both hold
-    for as long as the checkpoints live. The cards that are hot when matching begins are
-    spread over the salts. With `infer`, fields that the watchlist's files have beyond the
+    `match_by` says how cards are matched: by `history` (files, no state, no entry is
+    late) or by `state`. `salts` are those of `match_cards` in the latter case, and
+    `partitions` the state partitions; both hold for as long as the checkpoints live. The
+    cards that are hot when matching by state begins are spread over the salts. With `infer`, fields that the watchlist's files have beyond the
     fixed ones become columns of the bronze table; the first run's schema is kept.
     `table_format` is that of all tables. Rule counts and the dashboard's summaries are kept
     by the batches that write the rows they are of.
@@ -112,6 +121,7 @@ class Monitor:
     notify: bool = True
     own_layers: bool = False
     prefix: str = ""
+    match_by: str = "history"
     salts: int | None = None
     partitions: int | None = None
     infer: bool = False
@@ -140,7 +150,9 @@ class Monitor:
                     continue
                 rows = table.build()
                 if table.enrich:
-                    rows = table.enrich(rows).withColumn(BATCH, F.lit(""))
+                    rows = table.enrich(rows)
+                if table.in_batches:
+                    rows = rows.withColumn(BATCH, F.lit(""))
                 declare(
                     self.spark,
                     self.table(table.name),
@@ -149,7 +161,7 @@ class Monitor:
                     table.quality,
                     table.protected,
                     table_format=self.table_format,
-                    partition_by=[BATCH] if table.enrich else [],
+                    partition_by=[BATCH] if table.in_batches else [],
                 )
 
     def run_once(self) -> list[StreamingQuery]:
@@ -270,7 +282,8 @@ class Monitor:
                     CARD_MATCHES,
                     "Transactions with a card on the watchlist",
                     self._matches,
-                    stateful=True,
+                    stateful=self.match_by == "state",
+                    joined=None if self.match_by == "state" else (self._payments, self._entries),
                 ),
                 StreamTable(
                     TUMBLING_COUNTS,
@@ -310,8 +323,16 @@ class Monitor:
         spark.catalog.refreshTable(name)
         return spark.read.table(name)
 
+    def _payments(self) -> DataFrame:
+        return self._stream(SILVER_TRANSACTIONS).drop(BATCH)
+
+    def _entries(self) -> DataFrame:
+        return self._stream(SILVER_WATCHLIST)
+
     def _matches(self) -> DataFrame:
-        """With the salts and hot cards that the checkpoint began with."""
+        """By state, with the salts and hot cards that the checkpoint began with."""
+        if self.match_by != "state":
+            return match_cards(self._payments(), self._entries())
         kept = kept_state(self.spark, self.checkpoint(CARD_MATCHES))
         if kept is None:
             salts = SALTS if self.salts is None else self.salts
@@ -335,6 +356,16 @@ class Monitor:
 
     def _start(self, table: StreamTable, trigger: Mapping[str, object]) -> StreamingQuery:
         name, checkpoint = self.table(table.name), self.checkpoint(table.name)
+        if table.joined:
+            return append_joined(
+                *[side() for side in table.joined],
+                ("card_number", "entity_id"),
+                match_cards,
+                name,
+                f"{self.folder}/history/{table.name}",
+                checkpoint,
+                trigger,
+            )
         if table.enrich:
             return append_batches(
                 table.build(),

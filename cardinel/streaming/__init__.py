@@ -2,6 +2,7 @@
 
 from cardinel.streaming.batches import append_batches, rule_totals
 from cardinel.streaming.folds import Fold, FoldLost, first_rows, sums
+from cardinel.streaming.history import History, append_joined
 from cardinel.streaming.outbox import attach_outbox, outbox_stats, read_outbox, write_outbox
 from cardinel.streaming.progress import (
     ProgressKeeper,
@@ -24,9 +25,11 @@ from cardinel.streaming.tables import create_layers, declare, reset, table_prope
 __all__ = [
     "Fold",
     "FoldLost",
+    "History",
     "ProgressKeeper",
     "StateChanged",
     "append_batches",
+    "append_joined",
     "append_to_path",
     "append_to_table",
     "attach_outbox",

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +24,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cardinel.operators.quality import Expectation, all_counts, counts_by_rule, meet
 from cardinel.session import settings
-from cardinel.sources.paths import read_if_present
-from cardinel.streaming.folds import Fold, sums
+from cardinel.sources.paths import is_present, read_if_present
+from cardinel.streaming.folds import Fold, side_by_side, sums
 from cardinel.streaming.runner import CATCH_UP
 
 # An insert replaces the partitions it has rows for, and no others.
@@ -62,10 +63,9 @@ def rows_of_batches(spark: SparkSession, table: str, keys: Sequence[str]) -> Dat
 
 def is_written(spark: SparkSession, table: str, key: str) -> bool:
     """Whether a batch has its partition: its folder, which appears in one step."""
-    detail = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
-    place = f"{detail['Location'].rstrip('/')}/{BATCH}={key}"
-    read = spark.read.format(detail["Provider"]).schema(spark.read.table(table).schema)
-    return read_if_present(lambda: read.load(place)) is not None
+    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+    place = detail.first().data_type.rstrip("/")
+    return is_present(spark, f"{place}/{BATCH}={key}")
 
 
 def write_batch(rows: DataFrame, table: str, key: str) -> None:
@@ -80,6 +80,12 @@ def _register(spark: SparkSession, table: str, key: str) -> None:
     spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({BATCH} = '{key}')")
 
 
+def follow(spark: SparkSession, table: str, writer: str, number: int, steps: Sequence[Step]) -> None:
+    """Give the rows that a batch wrote to each step."""
+    rows = rows_of_batches(spark, table, [f"{writer}-{number}"])
+    side_by_side(*[partial(step, rows, writer, number) for step in steps])
+
+
 def append_batches(
     stream: DataFrame,
     build: Callable[[DataFrame], DataFrame],
@@ -113,10 +119,10 @@ def append_batches(
             write_batch(build(batch), table, key)
         if expectations and (seen or not COUNTS.has(spark, counts, writer, number)):
             found = seen.get if seen else build(batch).agg(*all_counts(expectations)).first().asDict()
-            rows = counts_by_rule(found, expectations)
-            COUNTS.add(spark.createDataFrame(rows, COUNTS.schema), counts, writer, number)
-        for step in steps:
-            step(rows_of_batches(spark, table, [key]), writer, number)
+            rows = [F.struct(*map(F.lit, row)) for row in counts_by_rule(found, expectations)]
+            part = spark.range(1).select(F.inline(F.array(*rows))).toDF(*COUNTS.schema.names)
+            COUNTS.add(part.withColumn("n", F.col("n").cast("long")), counts, writer, number)
+        follow(spark, table, writer, number, steps)
 
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)

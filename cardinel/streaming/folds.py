@@ -9,13 +9,15 @@ again. A reader reads as many rows as a summary has, however many batches there
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardinel.sources.paths import read_if_present
+from cardinel.sources.paths import is_present
 
 # A reader that has found the last summary can read it for as long as this many batches
 # less one take.
@@ -56,7 +58,7 @@ class Fold:
             part = self.merge(part.unionByName(before.select(*self.schema.names)))
         elif through:
             raise FoldLost(f"{own} has batches {sorted(through)}, not {number - 1}")
-        mark = spark.createDataFrame([(number,)], f"{THROUGH} long")
+        mark = spark.range(1).select(F.lit(number).cast("long").alias(THROUGH))
         whole = part.select(*self.schema.names).unionByName(mark, allowMissingColumns=True)
         # One file, which appears in one step.
         whole.coalesce(1).write.mode("overwrite").parquet(f"{own}/{PLACE}={number % PLACES}")
@@ -88,6 +90,16 @@ class Fold:
         return lambda rows, writer, number: self.add(rows, folder, writer, number)
 
 
+def side_by_side(*tasks: Callable[[], None]) -> None:
+    """Run small Spark jobs that do not depend on each other at the same time.
+
+    Waits for all of them; raises the error of the first one that failed.
+    """
+    with ThreadPoolExecutor(max(1, len(tasks))) as pool:
+        for done in [pool.submit(inheritable_thread_target(task)) for task in tasks]:
+            done.result()
+
+
 def _through(kept: DataFrame | None) -> dict[int, int]:
     """Places of the last few summaries by the batches that they go through."""
     if kept is None:
@@ -100,7 +112,8 @@ def _places(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame
     kinds = T.StructType([T.StructField(f.name, f.dataType) for f in kinds])
     if "/writer=" not in folder:
         kinds = kinds.add("writer", "string")
-    return read_if_present(lambda: spark.read.schema(kinds.add(PLACE, "integer")).parquet(folder))
+    kinds = kinds.add(PLACE, "integer")
+    return spark.read.schema(kinds).parquet(folder) if is_present(spark, folder) else None
 
 
 def sums(keys: Sequence[str], values: Sequence[str]) -> Callable[[DataFrame], DataFrame]:

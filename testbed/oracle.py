@@ -489,6 +489,7 @@ QUERIES = {
     """,
 }
 
+QUERIES["card_alerts_history"] = QUERIES["card_alerts_stream"]
 QUERIES["dashboard_incremental"] = QUERIES["dashboard_datasets"]
 
 

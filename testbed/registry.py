@@ -51,6 +51,7 @@ from cardinel.sources import (
 )
 from cardinel.streaming import (
     append_batches,
+    append_joined,
     append_to_path,
     append_to_table,
     attach_outbox,
@@ -400,6 +401,30 @@ def card_alerts_stream(spark: SparkSession, folder: str) -> DataFrame:
     return stored(alerts, "card_alerts").drop("alert_timestamp")
 
 
+@registered
+def card_alerts_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Two streams that come in several batches, joined by files of all earlier rows."""
+    work = work_folder(spark, "card_history")
+    layer = f"history_{work.rsplit('-', 1)[1]}"
+    create_layers(spark, [layer], f"{work}/tables")
+    sides = []
+    for name, rows, key in (
+        ("paid", silver_transactions_table(spark, folder), "transaction_id"),
+        ("listed", silver_watchlist_table(spark, folder), "watchlist_id"),
+    ):
+        rows.repartition(4, key).write.parquet(f"{work}/{name}")
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+        sides.append(stream.parquet(f"{work}/{name}"))
+    table = f"{layer}.matches"
+    rows = match_cards(*sides).withColumn(BATCH, F.lit(""))
+    declare(spark, table, rows.schema, "Card matches", "gold", partition_by=[BATCH])
+    keys = ("card_number", "entity_id")
+    finish(append_joined(*sides, keys, match_cards, table, f"{work}/history", f"{work}/point"))
+    matches = spark.read.table(table).drop(BATCH)
+    alerts = alert_matches(matches, silver_customers_table(spark, folder))
+    return _and_dropped(alerts.drop("alert_timestamp"), [layer])
+
+
 # Windowed counts.
 
 
