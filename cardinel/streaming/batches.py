@@ -83,7 +83,7 @@ def _register(spark: SparkSession, table: str, key: str) -> None:
 def follow(spark: SparkSession, table: str, writer: str, number: int, steps: Sequence[Step]) -> None:
     """Give the rows that a batch wrote to each step."""
     rows = rows_of_batches(spark, table, [f"{writer}-{number}"])
-    side_by_side(*[partial(step, rows, writer, number) for step in steps])
+    side_by_side(spark, *[partial(step, rows, writer, number) for step in steps])
 
 
 def append_batches(

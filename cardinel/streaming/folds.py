@@ -90,13 +90,13 @@ class Fold:
         return lambda rows, writer, number: self.add(rows, folder, writer, number)
 
 
-def side_by_side(*tasks: Callable[[], None]) -> None:
+def side_by_side(spark: SparkSession, *tasks: Callable[[], None]) -> None:
     """Run small Spark jobs that do not depend on each other at the same time.
 
     Waits for all of them; raises the error of the first one that failed.
     """
     with ThreadPoolExecutor(max(1, len(tasks))) as pool:
-        for done in [pool.submit(inheritable_thread_target(task)) for task in tasks]:
+        for done in [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]:
             done.result()
 
 

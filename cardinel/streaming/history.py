@@ -148,6 +148,7 @@ def append_joined(
         session, key = batch.sparkSession, f"{writer}-{number}"
         if not is_written(session, table, key):
             side_by_side(
+                session,
                 lambda: lefts.add(batch.filter("left is not null").select("left.*"), number),
                 lambda: rights.add(batch.filter("right is not null").select("right.*"), number),
             )
