@@ -37,6 +37,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def all_columns(docs: DataFrame, *without: str) -> Column:
+    """A caller's columns as one struct `_all`, so that no name of theirs meets one of ours.
+
+    `_all.*` gives them back.
+    """
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in without]).alias("_all")
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardinel.llm.common import WORD, prefix_sums, row_key, saved
+from cardinel.llm.common import WORD, all_columns, prefix_sums, row_key, saved
 
 MOST_EPOCHS = 3
 # Documents that one task sorts, on average.
@@ -95,9 +95,9 @@ def mix(docs: DataFrame, seed: int = 17) -> DataFrame:
 
 
 def mixed(docs: DataFrame, seed: int = 17) -> DataFrame:
-    """The mix itself: each document as often as the mix takes it, all columns kept.
+    """The mix itself: each document as often as the mix takes it.
 
-    Rows with one id, source and text are taken alike. Documents without words are left
+    All columns are kept, whatever their names.     Rows with one id, source and text are taken alike. Documents without words are left
     out, as they count for nothing.
     """
     key = row_key(F.col("doc_id"), F.col("source"), F.xxhash64("text"))
@@ -111,6 +111,7 @@ def mixed(docs: DataFrame, seed: int = 17) -> DataFrame:
     )
     taken = mix(saved(one, "mixing-sizes"), seed).filter("taken > 0")
     copies = taken.select("_row", F.expr("taken div size").cast("int").alias("_copies"))
-    joined = docs.withColumn("_row", key).join(saved(copies, "mixing-copies"), "_row")
-    repeated = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeated.select(*docs.columns)
+    own = docs.select(all_columns(docs), key.alias("_row"))
+    joined = own.join(saved(copies, "mixing-copies"), "_row")
+    repeated = joined.select("_all", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return repeated.select("_all.*")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardinel.llm.common import row_key, saved
+from cardinel.llm.common import all_columns, row_key, saved
 from cardinel.llm.components import components
 from cardinel.llm.text_arrays import mix, pieces, word_hashes
 
@@ -361,9 +361,9 @@ def _apart(lists: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def dedupe(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group, all columns kept: the one with the smallest id.
+    """One document of each group: the one with the smallest id.
 
-    Of a group's rows with that id the one with the smallest text hash stays, and of equal
+    All columns are kept, whatever their names.     Of a group's rows with that id the one with the smallest text hash stays, and of equal
     rows one. Each text without words is a group of its own, so it stays; only if it has
     an id can it be a repeated row.
     """
@@ -372,8 +372,9 @@ def dedupe(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     apart = F.col("doc_id").isNull() & (F.col("_size") == 0)
     best = best.select(row_key(F.col("doc_id"), F.col("_hash")).alias("_key"), "_n", apart.alias("_apart"))
     best = saved(best, "kept-documents")
-    rows = docs.withColumn("_key", row_key(F.col("doc_id"), F.xxhash64("text"))).join(best, "_key")
+    key = row_key(F.col("doc_id"), F.xxhash64("text")).alias("_key")
+    rows = docs.select(all_columns(docs), key).join(best, "_key")
     if best.filter("_n > 1 and not _apart").isEmpty():
-        return rows.select(*docs.columns)
+        return rows.select("_all.*")
     once = rows.filter("not _apart").dropDuplicates(["_key"])
-    return once.union(rows.filter("_apart")).select(*docs.columns)
+    return once.union(rows.filter("_apart")).select("_all.*")

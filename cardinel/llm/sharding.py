@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardinel.llm.common import prefix_sums, saved
+from cardinel.llm.common import all_columns, prefix_sums, saved
 
 CELLS = 4096
 BINS = 4096
@@ -28,10 +28,14 @@ def text_number(value: Column) -> Column:
 
 
 def measured(docs: DataFrame, overhead: int = 16) -> DataFrame:
-    """Adds size, checksum, coordinates and a spreading hash to documents."""
+    """Adds size, checksum, coordinates and a spreading hash to documents.
+
+    Ids that are no numbers are placed by their first bytes.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     size = (F.octet_length(text) + overhead).cast("long")
-    number = F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0))
+    number = F.nanvl(F.col("doc_id").try_cast("double"), F.lit(0.0))
+    number = F.coalesce(number, text_number(F.col("doc_id").cast("string")))
     place = [text_number(F.col("lang")), text_number(F.col("source")), F.log2(size), number]
     return (
         docs.withColumn("size", size)
@@ -185,14 +189,16 @@ def with_shards(docs: DataFrame, shards: int) -> DataFrame:
     """All rows with their `shard`; texts are not shuffled for it.
 
     The tree is built from the metadata alone, and rows then pass through its splits.
-    Columns `shard`, `size` and `text_crc32` are replaced.
+    Columns `shard`, `size` and `text_crc32` are replaced, all others kept, whatever their
+    names.
     """
     _, levels = assign(_bare(docs), shards)
-    kept = [c for c in docs.columns if c not in ("shard", "size", "text_crc32")]
-    rows = root(measured(docs.select(*kept)), shards)
+    own = all_columns(docs, "shard", "size", "text_crc32")
+    rows = measured(docs.select(own, "doc_id", "text", "lang", "source"))
+    rows = root(rows.drop("doc_id", "text", "lang", "source"), shards)
     for splits in levels:
         rows = route(rows, splits)
-    return rows.select(*kept, "size", "text_crc32", F.col("shard").cast("int").alias("shard"))
+    return rows.select("_all.*", "size", "text_crc32", F.col("shard").cast("int").alias("shard"))
 
 
 def write_shards(docs: DataFrame, shards: int, folder: str) -> None:
