@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardinel.llm import decontamination, language, mixing, neardup, sharding
 from cardinel.llm.common import saved, table
@@ -15,9 +16,13 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is clear; those that the operator rejects go."""
-    found = language.identify(docs, language.fit(docs))
-    return found.filter("not rejected").select(*docs.columns)
+    """Documents whose language is clear; those that the operator rejects go.
+
+    Columns stay as they are, also where the operator adds some of their names.
+    """
+    names = [c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)]
+    found = language.identify(docs.toDF(*names), language.fit(docs)).filter("not rejected")
+    return found.select(*[F.col(own).alias(c) for own, c in zip(names, docs.columns, strict=True)])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
