@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
 from cardinel.operators.alerts import alert_matches, limit_alerts, match_cards
 from cardinel.operators.cleaning import clean_customers, clean_watchlist, parse_transactions
@@ -36,7 +36,8 @@ from cardinel.plans.notifications import render_card_notifications, render_limit
 from cardinel.operators.skew import hot_keys
 from cardinel.schemas import CUSTOMER, WATCHLIST
 from cardinel.session import prepare
-from cardinel.sources import envelope, infer_schema, parse_watchlist, stream_json_lines
+from cardinel.sources import envelope, parse_watchlist, stream_json_lines
+from cardinel.sources.versions import SchemaLog, add_columns, by_version, inferred
 from cardinel.streaming.batches import BATCH, append_batches, rule_totals
 from cardinel.streaming.folds import Fold
 from cardinel.streaming.history import append_joined
@@ -106,7 +107,8 @@ class Monitor:
     late) or by `state`. `salts` are those of `match_cards` in the latter case, and
     `partitions` the state partitions; both hold for as long as the checkpoints live. The
     cards that are hot when matching by state begins are spread over the salts. With `infer`, fields that the watchlist's files have beyond the
-    fixed ones become columns of the bronze table; the first run's schema is kept.
+    fixed ones become columns of the bronze table, from the batch on that brings them; the
+    versions of its schema are kept, and `watchlist_entries` reads all rows by the last.
     `table_format` is that of all tables. Rule counts and the dashboard's summaries are kept
     by the batches that write the rows they are of.
     `limits` bounds the micro-batches of every stream that reads files or tables
@@ -236,11 +238,9 @@ class Monitor:
                 StreamTable(
                     BRONZE_WATCHLIST,
                     "Watchlist entries as delivered",
-                    lambda: parse_watchlist(
-                        stream_json_lines(self.spark, self.watchlist_folder, **self.limits),
-                        self._watchlist_schema(),
-                    ),
+                    self._lines if self.infer else lambda: parse_watchlist(self._lines()),
                     protected=True,
+                    enrich=self._followed if self.infer else None,
                 ),
             ],
             [
@@ -309,13 +309,31 @@ class Monitor:
             ],
         ]
 
-    def _watchlist_schema(self) -> StructType:
-        if not self.infer:
-            return WATCHLIST
-        found = infer_schema(self.spark, self.watchlist_folder, f"{self.folder}/schema/watchlist")
-        return StructType(
-            [*WATCHLIST, *(f for f in found if f.name not in WATCHLIST.names)]
-        )
+    def _lines(self) -> DataFrame:
+        return stream_json_lines(self.spark, self.watchlist_folder, **self.limits)
+
+    def _followed(self, lines: DataFrame) -> DataFrame:
+        """Entries of a batch with the columns that the table has by then.
+
+        Fields that are new to the feed are found in the batch's own files.
+        """
+        spark, table = lines.sparkSession, self.table(BRONZE_WATCHLIST)
+        if lines.isStreaming or not spark.catalog.tableExists(table):
+            return parse_watchlist(lines)
+        paths = [row[0] for row in lines.select("file_path").distinct().collect()]
+        own = WATCHLIST
+        if paths:
+            found = inferred(spark, paths)
+            more = T.StructType([f for f in found if f.name not in WATCHLIST.names])
+            log = SchemaLog(spark, f"{self.folder}/schema/watchlist")
+            more = add_columns(spark, table, log.follow(more, paths[0]))
+            own = T.StructType([*WATCHLIST, *more])
+        return parse_watchlist(lines, own)
+
+    def watchlist_entries(self) -> DataFrame:
+        """Entries as delivered, all by the last version of the feed's schema."""
+        log = SchemaLog(self.spark, f"{self.folder}/schema/watchlist")
+        return by_version(self._snapshot(BRONZE_WATCHLIST), T.StructType([*WATCHLIST, *log.latest()]))
 
     def _customers_now(self, batch: DataFrame) -> DataFrame:
         """Customers as their table stands, in the session of the batch."""

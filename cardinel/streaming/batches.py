@@ -71,8 +71,9 @@ def is_written(spark: SparkSession, table: str, key: str) -> bool:
 def write_batch(rows: DataFrame, table: str, key: str) -> None:
     """Put a batch's rows into its own partition, which is there afterwards even if empty."""
     spark = rows.sparkSession
+    columns = [F.col(f"`{name}`") for name in spark.read.table(table).columns]
     with settings(spark, OWN_PARTITION):
-        rows.withColumn(BATCH, F.lit(key)).write.mode("overwrite").insertInto(table)
+        rows.withColumn(BATCH, F.lit(key)).select(*columns).write.mode("overwrite").insertInto(table)
     _register(spark, table, key)
 
 

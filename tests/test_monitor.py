@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cardinel.plans import monitor as job
 from cardinel.schemas import TRANSACTION
+from cardinel.sources.versions import SchemaLog
 from cardinel.streaming import (
     StateChanged,
     append_to_table,
@@ -232,17 +233,48 @@ def test_customer_who_arrives_while_the_job_runs(spark, tmp_path):
     assert spark.read.table(monitor.table(job.LIMIT_ALERTS)).count() == 1
 
 
-def test_inferred_fields_of_the_watchlist_are_kept(spark, tmp_path):
+def test_the_watchlist_follows_its_feed(spark, tmp_path):
+    """New fields and wider types, in later runs and within one; no value is lost."""
     inputs = Inputs(spark, tmp_path)
-    monitor = inputs.monitor(infer=True)
-    (tmp_path / "landed" / "a.json").write_text('{"watchlist_id":"WL1","score":3}\n')
-    inputs.pay({})
-    monitor.run_once()
-    (tmp_path / "landed" / "b.json").write_text('{"watchlist_id":"WL2","score":4,"new":1}\n')
+    monitor = inputs.monitor(infer=True, notify=False, limits={"maxFilesPerTrigger": "1"})
+    days = [
+        ['{"watchlist_id":"WL1","score":3}', "cut off {"],
+        ['{"watchlist_id":"WL2","score":4.5,"note":1}', '[{"watchlist_id":"WL3","tags":["a"]}]'],
+        ['{"watchlist_id":"WL4","score":"high","note":{"by":"x"},"tags":["b"]}'],
+        ['{"watchlist_id":"WL5","score":7,"note":2,"Extra":true}'],
+    ]
+    columns = []
+    for number, lines in enumerate(days):
+        landed = tmp_path / "landed" / f"{number}.json"
+        landed.write_text("\n".join(lines) + "\n")
+        os.utime(landed, (1.7e9 + number,) * 2)  # files of one time come in any order
+        if number != 2:  # the third comes with the fourth
+            monitor.run_once()
+            spark.catalog.refreshTable(monitor.table(job.BRONZE_WATCHLIST))
+            bronze = spark.read.table(monitor.table(job.BRONZE_WATCHLIST))
+            columns.append({"score", "note", "tags", "Extra"} & set(bronze.columns))
+    assert columns == [{"score"}, {"score", "note", "tags"}, {"score", "note", "tags", "Extra"}]
+    got = {r.watchlist_id: (r.score, r.note, r.tags, r.Extra) for r in monitor.watchlist_entries().collect()}
+    assert got == {
+        "WL1": ("3", None, None, None),
+        "WL2": ("4.5", "1", None, None),
+        "WL3": (None, None, ["a"], None),
+        "WL4": ("high", '{"by":"x"}', ["b"], None),
+        "WL5": ("7", "2", None, True),
+        None: (None, None, None, None),
+    }
+    log = SchemaLog(spark, f"{monitor.folder}/schema/watchlist")
+    kinds = [{f.name: f.dataType.simpleString() for f in fields} for _, _, fields in log.versions()]
+    assert kinds == [
+        {"score": "bigint"},
+        {"score": "double", "note": "bigint", "tags": "array<string>"},
+        {"score": "string", "note": "string", "tags": "array<string>"},
+        {"score": "string", "note": "string", "tags": "array<string>", "Extra": "boolean"},
+    ]
+    again = monitor.watchlist_entries().count()
     monitor.run_once()
-    rows = spark.read.table(monitor.table(job.BRONZE_WATCHLIST)).collect()
-    got = {row.watchlist_id: (row.score, row._rescued_data) for row in rows}
-    assert got == {"WL1": (3, None), "WL2": (4, '{"new":"1"}')}
+    assert monitor.watchlist_entries().count() == again == 6
+    assert len(log.versions()) == 4
 
 
 def test_partitioned_table(spark, layer, tmp_path):
