@@ -41,6 +41,38 @@ def count_sliding(
     )
 
 
+def missed(
+    transactions: DataFrame, counts: DataFrame, size: str = TUMBLING, slide: str | None = None
+) -> DataFrame:
+    """Closed windows that lack rows that came after they were closed.
+
+    `counts` are those that a stream has given out for the transactions of a table. What a
+    window lacks are the rows that the stream dropped as late; a window that was closed
+    before any of its rows came has given out none. Windows beyond the last one given out
+    may still be open and are not looked at.
+    """
+    window = F.window(EVENT_TIME, size, slide) if slide else F.window(EVENT_TIME, size)
+    whole = _count(transactions, window, F.count(F.lit(1)))
+    # The last window given out, as one row: bounded, whatever the table's size.
+    last = counts.agg(F.max("window_end").alias("last_end"))
+    ends = ["window_start", "window_end"]
+    given = counts.select(*ends, F.col("transaction_count").alias("given_count"))
+    closed = whole.join(F.broadcast(last), F.col("window_end") <= F.col("last_end")).drop("last_end")
+    lacking = F.col("transaction_count") - F.coalesce("given_count", F.lit(0))
+    joined = closed.join(given, ends, "left").withColumn("missed", lacking)
+    return joined.filter(F.col("missed") > 0).select(*ends, "transaction_count", "missed")
+
+
+def late_candidates(transactions: DataFrame, missed_windows: DataFrame, size: str = TUMBLING) -> DataFrame:
+    """The rows of windows that lack some, late ones and those that came in time."""
+    windows = missed_windows.select(F.struct("window_start", "window_end").alias("_window"))
+    at = F.window(EVENT_TIME, size)
+    own = transactions.withColumn(
+        "_window", F.struct(at["start"].alias("window_start"), at["end"].alias("window_end"))
+    )
+    return own.join(windows, "_window", "left_semi").drop("_window")
+
+
 def _is_multiple(df: DataFrame, size: str, slide: str) -> bool:
     """By Spark's own reading of the intervals."""
     parts = [f"cast(timestamp '1970-01-01' + {_interval(text)} as double)" for text in (size, slide)]

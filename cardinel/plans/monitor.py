@@ -30,7 +30,7 @@ from cardinel.operators.quality import (
     TRANSACTION_WARN,
     Expectation,
 )
-from cardinel.operators.windows import count_sliding, count_tumbling
+from cardinel.operators.windows import count_sliding, count_tumbling, missed
 from cardinel.plans import dashboard
 from cardinel.plans.notifications import render_card_notifications, render_limit_notifications
 from cardinel.operators.skew import hot_keys
@@ -42,6 +42,7 @@ from cardinel.streaming.batches import BATCH, append_batches, rule_totals
 from cardinel.streaming.folds import Fold
 from cardinel.streaming.history import append_joined
 from cardinel.streaming.outbox import attach_outbox
+from cardinel.streaming.progress import ProgressKeeper, kept_late_rows, read_reports
 from cardinel.streaming.runner import (
     CATCH_UP,
     PARTITIONS,
@@ -129,6 +130,7 @@ class Monitor:
     infer: bool = False
     table_format: str = "parquet"
     limits: Mapping[str, str] = field(default_factory=dict)
+    _keepers: list[ProgressKeeper] = field(default_factory=list, repr=False, compare=False)
 
     def set_up(self) -> None:
         """Create the layers and tables that are missing."""
@@ -169,6 +171,7 @@ class Monitor:
     def run_once(self) -> list[StreamingQuery]:
         """Take in everything that has arrived, table by table, then stop."""
         self.set_up()
+        keeper = self._keeper()
         done = []
         for stage in self.stages():
             queries = [self._start(table, CATCH_UP) for table in stage]
@@ -176,6 +179,7 @@ class Monitor:
             done += queries
         queries = self._start_outboxes(CATCH_UP)
         finish(*queries)
+        keeper.stop(*done, *queries)
         return done + queries
 
     def start(self, trigger: Mapping[str, object]) -> list[StreamingQuery]:
@@ -185,6 +189,7 @@ class Monitor:
         alerts, and readers start on tables that their writers have committed to.
         """
         self.run_once()
+        self._keepers.append(self._keeper())
         queries = [self._start(table, trigger) for stage in self.stages() for table in stage]
         return queries + self._start_outboxes(trigger)
 
@@ -192,6 +197,19 @@ class Monitor:
         """Stop what `start` started."""
         for query in queries:
             query.stop()
+        while self._keepers:
+            self._keepers.pop().stop(*queries)
+
+    def late_rows(self) -> DataFrame:
+        """Rows that each query has dropped as late, for queries that have dropped any."""
+        return kept_late_rows(read_reports(self.spark, f"{self.folder}/late"))
+
+    def missed_transactions(self) -> DataFrame:
+        """Closed minutes that lack late transactions, and how many."""
+        return missed(self._snapshot(SILVER_TRANSACTIONS), self._snapshot(TUMBLING_COUNTS))
+
+    def _keeper(self) -> ProgressKeeper:
+        return ProgressKeeper(self.spark, f"{self.folder}/late", only_late=True).start()
 
     def rule_counts(self, metric: str) -> DataFrame:
         """Rows and violations of all batches ever written, as `rule` and `n`."""

@@ -24,10 +24,13 @@ KEYS = "query_id string, batch_id bigint"
 
 
 class ProgressKeeper(StreamingQueryListener):
-    """Keeps the reports of all queries of a session, between `start` and `stop`."""
+    """Keeps the reports of all queries of a session, between `start` and `stop`.
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    With `only_late` just those of batches that dropped late rows, so that others cost nothing.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, only_late: bool = False):
+        self.spark, self.folder, self.only_late = spark, folder, only_late
         self.ended: dict[str, threading.Event] = defaultdict(threading.Event)
         self.failed: list[Exception] = []
 
@@ -63,6 +66,8 @@ class ProgressKeeper(StreamingQueryListener):
 
     def _keep(self, progress) -> None:
         late = sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
+        if self.only_late and not late:
+            return
         metrics = {name: row.asDict() for name, row in progress.observedMetrics.items()}
         row = self.spark.createDataFrame([(progress.name, late, json.dumps(metrics))], REPORT)
         place = f"{self.folder}/query_id={progress.id}/batch_id={progress.batchId}"

@@ -11,6 +11,7 @@ from cardinel.operators import card_alerts, count_sliding, count_tumbling, expec
 from cardinel.operators.alerts import match_cards
 from cardinel.operators.quality import TRANSACTION_WARN
 from cardinel.operators.skew import hot_keys
+from cardinel.operators.windows import late_candidates, missed
 from cardinel.session import STATEFUL, settings
 from cardinel.streaming import (
     ProgressKeeper,
@@ -248,6 +249,34 @@ def test_late_rows_are_kept(spark, feed, tmp_path):
     assert [row.late_rows for row in kept_late_rows(reports).collect()] == [2]
 
 
+def test_late_rows_are_found_by_the_windows_that_lack_them(spark, feed, tmp_path):
+    """Their number is that of Spark's own reports; each run's rows are one batch."""
+    keeper = ProgressKeeper(spark, f"{tmp_path}/late", only_late=True).start()
+    times = [
+        ["2024-01-01 00:00:10", "2024-01-01 00:10:10"],
+        ["2024-01-01 00:00:30", "2024-01-01 00:10:30"],
+        ["2024-01-01 00:03:31", "2024-01-01 00:30:00"],
+        ["2024-01-01 00:10:50", "2024-01-01 00:50:00"],
+    ]
+    done = []
+    for rows in times:
+        feed.add(paid(spark, *rows))
+        done.append(run(count_tumbling(feed.stream()), tmp_path))
+    keeper.stop(*done)
+    table = spark.read.schema(feed.schema).parquet(feed.folder)
+    counts = spark.read.parquet(f"{tmp_path}/out")
+    found = {(r.window_start.minute, r.transaction_count, r.missed) for r in missed(table, counts).collect()}
+    assert found == {(0, 2, 1), (3, 1, 1), (10, 3, 1)}
+    reports = read_reports(spark, f"{tmp_path}/late")
+    assert [r.late_rows for r in kept_late_rows(reports).collect()] == [3]
+    assert reports.count() == 3
+    near = late_candidates(table, missed(table, counts))
+    assert near.count() == 6
+    assert missed(table, count_tumbling(table)).count() == 0
+    sliding = missed(table, count_sliding(table), "5 minutes", "1 minute")
+    assert sliding.count() == 0
+
+
 def test_state_is_in_rocksdb(spark, feed, tmp_path):
     feed.add(paid(spark, "2024-01-01 00:00:10"))
     query = run(count_tumbling(feed.stream()), tmp_path)
