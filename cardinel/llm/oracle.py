@@ -123,6 +123,37 @@ select page_id, strlen(html)::bigint as payload_bytes,
 from placed
 """
 
+SUBSTRINGS = r"""
+with docs as materialized (
+    select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents
+), chunks as materialized (
+    select r, 1000 * c as base, substring(h, 2000 * c + 1, 2398) as part
+    from docs, unnest(range(0, len(h) // 2000 + 1)) as t(c)
+), starts as materialized (
+    select r, base + j as i, md5(substring(part, 2 * j + 1, 400)) as s
+    from chunks, unnest(range(0, least(1000, len(part) // 2 - 199))) as t(j) where len(part) >= 400
+), copies as (
+    select s from starts group by s having count(*) > 1
+), hits as (
+    select r, i, i - lag(i) over (partition by r order by i) as step from starts semi join copies using (s)
+), placed as (
+    select r, i, sum(case when step <= 200 then 0 else 1 end) over (partition by r order by i) as run from hits
+), runs as (
+    select r, min(i) as lo, max(i) + 200 as hi from placed group by r, run
+), gaps as (
+    select r, coalesce(lag(hi) over (partition by r order by lo), 0) as a, lo as b from runs
+    union all select r, max(hi), null from runs group by r
+), kept as (
+    select r, string_agg(substring(h, 2 * a + 1, 2 * (coalesce(b, len(h) // 2) - a)), '' order by a) as rest
+    from gaps join docs using (r) group by r
+), removed as (
+    select r, sum(hi - lo)::bigint as n, count(*) as spans from runs group by r
+)
+select doc_id, (len(h) // 2)::bigint as n_bytes, coalesce(n, 0)::bigint as n_removed,
+    coalesce(spans, 0)::bigint as n_spans, sha256(unhex(coalesce(rest, h))) as kept_sha256
+from docs left join removed using (r) left join kept using (r)
+"""
+
 PHRASES = r"""
 with texts as (
     select coalesce(lang, 'und') as lang, translate(coalesce(text, ''),
@@ -170,6 +201,7 @@ select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
 """
 
 QUERIES = {
+    "op2_substring_dedup": SUBSTRINGS,
     "op5_source_mixing": MIXING,
     "op6_decontamination": DECONTAMINATION,
     "op7_near_dedup": NEAR_GROUPS,

@@ -23,6 +23,8 @@ from cardinel.llm.common import crc
 from cardinel.llm.samples import sample_per_label
 from cardinel.llm.text_arrays import IS_SPACE, pieces, sums_by, word_hashes, word_spans
 
+# Rows of each label that are learned from, and rounds over them.
+SAMPLE_ROWS, ROUNDS = 1200, 60
 BUCKETS = 4096
 FACTORS = 8
 ADDED = "score double, predicted int"
@@ -184,8 +186,8 @@ def fit(
     docs: DataFrame,
     label: str = "quality",
     metadata: tuple[str, ...] = (),
-    rows: int = 1200,
-    rounds: int = 60,
+    rows: int = SAMPLE_ROWS,
+    rounds: int = ROUNDS,
 ) -> Model | None:
     """Learn from `text` and a 0/1 label of about `rows` rows of each label.
 
@@ -259,7 +261,12 @@ def score(
 
 
 def score_held_out(
-    docs: DataFrame, labels: DataFrame, parts: int = 4, fold: int = 2
+    docs: DataFrame,
+    labels: DataFrame,
+    parts: int = 4,
+    fold: int = 2,
+    rows: int = SAMPLE_ROWS,
+    rounds: int = ROUNDS,
 ) -> DataFrame:
     """Learn from labelled rows of all folds but one, score every row."""
     docs = docs.select(
@@ -270,8 +277,8 @@ def score_held_out(
     )
     metadata = ("n_chars",)
     own = labels.filter(crc(F.col("doc_id"), parts) != fold)
-    chosen = sample_per_label(own.select("doc_id", "quality"), "quality", 1200)
+    chosen = sample_per_label(own.select("doc_id", "quality"), "quality", rows)
     # The sample is bounded, so that its ids can go to every scan.
     training = docs.filter(~F.col("held_out")).join(F.broadcast(chosen), "doc_id")
-    model = fit(training, "quality", metadata)
+    model = fit(training, "quality", metadata, rows, rounds)
     return score(docs, model, metadata).drop("text", "n_chars")

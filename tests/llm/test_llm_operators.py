@@ -6,6 +6,7 @@ import random
 from collections import Counter, defaultdict
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -380,6 +381,27 @@ def kneser_ney(train, texts):
     return out
 
 
+def test_quality_scores_equal_the_sum_over_all_pairs(spark, docs):
+    """The linear-time identity against the sum of every pair of features."""
+    labelled = docs.withColumn("quality", (F.length(F.coalesce("text", F.lit(""))) % 2).cast("int"))
+    model = quality.fit(labelled, metadata=("n_chars",), rounds=8)
+    got = {(r.doc_id, r.score) for r in quality.score(docs, model, ("n_chars",)).collect()}
+    assert len(got) == len(DOCS)
+    scores = dict(got)
+    for doc_id, text, _, _, n_chars in DOCS[::3]:
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        _, bucket, stats = quality.features(data, np.array([0, len(data)]))
+        extra = [math.log1p(abs(n_chars)) if n_chars is not None else 0.0, float(n_chars is None)]
+        stats = quality.scaled(np.r_[stats[0], extra], model.mean, model.spread)
+        value = 1 / math.sqrt(max(len(bucket), 1))
+        own = [(b, value) for b in bucket] + [(quality.BUCKETS + i, x) for i, x in enumerate(stats)]
+        z = model.bias + sum(model.weights[i] * x for i, x in own)
+        for a, (i, x) in enumerate(own):
+            for j, y in own[a + 1 :]:
+                z += float(model.factors[i] @ model.factors[j]) * x * y
+        assert abs(scores[doc_id] - 1 / (1 + math.exp(-z))) < 1e-6
+
+
 def test_language_model(docs):
     train = [t for d, t in PAIRS if brute.fold(d, 7) != 2]
     want = dict(zip([d for d, _ in PAIRS], kneser_ney(train, [t for _, t in PAIRS]), strict=True))
