@@ -146,16 +146,19 @@ def threads(linked: DataFrame) -> DataFrame:
         F.col("reply_to").isNotNull().cast("long").alias("depth"),
     ).distinct()
     at = saved(at, "threads")
-    while True:
-        up = at.select(F.col("message_id").alias("thread"), F.col("thread").alias("_up"), F.col("depth").alias("_more"))
-        moved = at.join(up, "thread").select(
+    settled, moving = at.filter("thread = message_id"), at.filter("thread <> message_id")
+    while not moving.isEmpty():
+        # Only messages that have not reached their first one are joined again.
+        up = settled.union(moving).select(
+            F.col("message_id").alias("thread"), F.col("thread").alias("_up"), F.col("depth").alias("_more")
+        )
+        moved = saved(moving.join(up, "thread").select(
             "message_id", F.col("_up").alias("thread"), (F.col("depth") + F.col("_more")).alias("depth"),
-            (F.col("_up") != F.col("thread")).alias("_moved"),
-        )
-        moved = saved(moved, "threads")
-        at = moved.drop("_moved")
-        if moved.filter("_moved").isEmpty():
-            return at
+            (F.col("_up") == F.col("thread")).alias("_there"),
+        ), "threads")
+        settled = settled.union(moved.filter("_there").drop("_there"))
+        moving = moved.filter("not _there").drop("_there")
+    return settled
 
 
 def build(messages: DataFrame, scope: list[str]) -> DataFrame:
