@@ -8,7 +8,7 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
-from cardinel.llm import conversations, decontamination, mixing, neardup, sharding
+from cardinel.llm import conversations, decontamination, mixing, neardup, quality, sharding
 
 SCHEMA = "doc_id string, text string, lang string, source string"
 # Names that the operators use inside, or add.
@@ -119,3 +119,19 @@ def test_a_message_of_many_lines_takes_time_in_proportion(spark):
     took = seconds(lambda: found.extend(row.select(conversations.passages(F.col("text")).alias("p")).first().p))
     assert len(found) == 20_000 and found[1].text == "line 3\nline 4\nline 5"
     assert took < 30
+
+
+def test_no_documents_pass_all_stages(spark, plain):
+    """Each stage by itself, on a table without rows but with the columns of documents."""
+    docs = plain.withColumn("n_chars", F.length("text").cast("long")).filter("false")
+    for name, stage in importlib.import_module("corpus_pipeline").STAGES:
+        found = stage(spark, docs, "/root/testdata/sf0.001")
+        assert found.count() == 0, name
+        assert set(docs.columns) <= set(found.columns), name
+
+
+def test_quality_of_no_documents(plain):
+    labelled = plain.withColumn("quality", (F.length("doc_id") % 2).cast("int"))
+    model = quality.fit(labelled, rounds=2)
+    assert model is not None
+    assert quality.score(plain.filter("false"), model).count() == 0
