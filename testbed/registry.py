@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +64,7 @@ from cardinel.streaming import (
     table_properties,
 )
 from cardinel.streaming.batches import BATCH
+from cardinel.streaming.folds import side_by_side
 from cardinel.streaming.tables import LAYERS
 from testbed import mapping
 
@@ -575,9 +576,14 @@ def dashboard_incremental(spark: SparkSession, folder: str) -> DataFrame:
             "limit": (dashboard.OF_LIMIT_ALERTS, limit_alerts(rows, people, now=stamp)),
             "card": (dashboard.OF_CARD_ALERTS, card_alerts(rows, entries, people, now=stamp)),
         }
-        for folds, part in parts.values():
-            for name, fold in folds.items():
-                fold.add(part, f"{work}/dashboard/{name}", writer, number)
+        side_by_side(
+            spark,
+            *[
+                partial(fold.add, part, f"{work}/dashboard/{name}", writer, number)
+                for folds, part in parts.values()
+                for name, fold in folds.items()
+            ],
+        )
 
     checked = [Expectation("drop", TRANSACTION_DROP, drop=True)]
     more = {"expectations": checked, "counts": f"{work}/rules", "steps": [summaries]}
