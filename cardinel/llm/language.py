@@ -92,7 +92,13 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _clusters(vectors: np.ndarray, number: int, rounds: int = 12) -> np.ndarray:
-    """Spherical k-means, begun with texts far apart from each other."""
+    """Spherical k-means, begun with texts far apart from each other.
+
+    A text of one letter has no n-grams. It is far from all others, itself included, and
+    would be taken again and again; so such texts count only where there are no others.
+    """
+    some = vectors[vectors.any(1)]
+    vectors = some if len(some) else vectors
     centres = vectors[:1]
     while len(centres) < min(number, len(vectors)):
         centres = np.vstack([centres, vectors[np.argmin((vectors @ centres.T).max(1))]])

@@ -1,6 +1,7 @@
 """The operators' results by plain Python over all rows, for small inputs."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -123,3 +124,31 @@ def targets(sizes):
             left -= target[s]
             full.add(s)
     return target
+
+
+def letter_grams(text, buckets_log2=12):
+    """Counts by bucket of the 2- and 3-byte grams of a text, letters folded to small ones."""
+    folded, before = [], 0
+    for byte in (text or "").encode():
+        if byte >= 128:
+            folded.append(byte + 32 if before == 0xC3 and 0x80 <= byte <= 0x9E else byte)
+        else:
+            folded.append(ord(chr(byte).lower()) if chr(byte).isalpha() else 32)
+        before = byte
+    found = Counter()
+    for size in (2, 3):
+        for i in range(len(folded) - size + 1):
+            gram = folded[i : i + size]
+            if gram != [32] * size:
+                number = int.from_bytes(bytes(gram), "big")
+                found[(number * 2654435761 + size) % 2**32 >> 32 - buckets_log2] += 1
+    return found
+
+
+def similarities(text, rarity, centroids):
+    """Cosine of a text's weighted grams with each centroid; and how many grams it has."""
+    grams = letter_grams(text)
+    weights = {b: math.log1p(n) * float(rarity[b]) for b, n in grams.items()}
+    length = math.sqrt(sum(w * w for w in weights.values())) or 1.0
+    near = [sum(w * float(c[b]) for b, w in weights.items()) / length for c in centroids]
+    return near, sum(grams.values())

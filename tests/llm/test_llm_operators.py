@@ -308,6 +308,35 @@ def test_language(spark, none):
     assert language.identify(strange.withColumn("score", F.lit("x")), None).first().lang_pred == "und"
 
 
+def test_language_is_that_of_the_nearest_centroid(spark):
+    draw = random.Random(6)
+    letters = {"aa": "abcdeéf", "bb": "ABmnoÄpq", "cc": "жщюяэъы", "dd": "abmnÉ1,"}
+    rows = [
+        (i, words_of(draw, draw.randint(1, 40), letters[lang]), lang)
+        for i, lang in enumerate(draw.choices(list(letters), k=160))
+    ]
+    rows += [(200, None, "aa"), (201, "", "bb"), (202, "12 \u0663 !", None), (203, "x", "dd")]
+    rows += [(204, "é", None), (205, "Ä m " * 5000, None), (206, "漢字 🙂 ok", None), (3, "same", "aa")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df)
+    assert Counter(model.languages) == dict.fromkeys(letters, 4)
+    assert np.allclose(np.linalg.norm(model.centroids, axis=1), 1, atol=1e-4)
+    found = language.identify(df, model).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        if not any(c.isalpha() for c in r.text or ""):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0, True)
+            continue
+        near, grams = brute.similarities(r.text, model.rarity, model.centroids)
+        best = max(near)
+        assert abs(r.score - min(best, 1)) < 1e-4
+        close = [k for k, x in enumerate(near) if x > best - 1e-4]
+        assert r.lang_pred in {model.languages[k] for k in close}
+        least = [model.least[k, round(math.log2(max(grams, 1)))] for k in close]
+        if all(abs(best - x) > 1e-4 for x in least):
+            assert r.rejected in {best < x for x in least}
+
+
 def test_unlearned_languages_and_noise_are_rejected(spark):
     draw = random.Random(8)
     letters = "abcdefghijklmnopqrstuvwxyz"
