@@ -108,7 +108,11 @@ def table(spark: SparkSession, folder: str, name: str, stream: bool = False) ->
 
 
 def transactions(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
-    return table(spark, folder, "events", stream).selectExpr(*_aliased(TRANSACTIONS))
+    return _as_transactions(table(spark, folder, "events", stream))
+
+
+def _as_transactions(events: DataFrame) -> DataFrame:
+    return events.selectExpr(*_aliased(TRANSACTIONS))
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -128,8 +132,15 @@ def watchlist(spark: SparkSession, folder: str, stream: bool = False) -> DataFra
 
 
 def messages(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
-    """Transactions as Kafka would deliver them: JSON, with key and value in binary."""
-    rows = transactions(spark, folder, stream)
+    """Transactions as Kafka would deliver them: JSON, with key and value in binary.
+
+    They come in a part for each core, as from a topic of as many partitions. A task reads a
+    row group as a whole, so that a file of one would otherwise be written as JSON, parsed
+    and checked by a single task, however large it is.
+    """
+    events = table(spark, folder, "events", stream)
+    events = events.repartition(spark.sparkContext.defaultParallelism, "event_id")
+    rows = _as_transactions(events)
     number = F.substring("transaction_id", 2, 20).cast("long")
     as_json = F.to_json(
         F.struct(*TRANSACTION.names), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
