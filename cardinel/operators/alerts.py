@@ -81,8 +81,9 @@ def match_cards(
     As a stateful query gets no adaptive split of hot keys, the transactions of the
     `hot` cards (all cards, if None) are spread over `salts` parts, with a copy of the
     card's entries in each part. The result does not depend on that, but a checkpoint
-    does: both go with the result as metadata, the runner keeps them with the
-    checkpoint, and it refuses to go on with others.
+    does, as it does on the order of the two sides: these go with the result as
+    metadata, the runner keeps them with the checkpoint, and it refuses to go on with
+    others.
     """
     seen = transactions.withWatermark(EVENT_TIME, lateness)
     listed = watchlist.withWatermark("effective_from", lateness)
@@ -92,11 +93,15 @@ def match_cards(
         seen = spread_over_salts(seen, "card_number", by, salts, hot)
         listed = copy_to_salts(listed, "entity_id", salts, hot)
         on &= F.col("t.salt") == F.col("w.salt")
+    state = {"salts": salts, "hot": None if hot is None else [*hot], "first": "watchlist"}
+    # Entries come first: a batch takes in its left side before its right one, and a row
+    # that is found in state for the first time is written there again, as matched. With
+    # entries in state, a payment is written once, when its match is already known.
     # Both event times stay in the result; were one left out, the optimizer
     # would remove it above the watermark and its late rows would get through.
     return (
-        seen.alias("t")
-        .join(listed.alias("w"), on)
+        listed.alias("w")
+        .join(seen.alias("t"), on)
         .select(
             "t.transaction_id",
             "t.customer_id",
@@ -114,10 +119,7 @@ def match_cards(
             "t.transaction_timestamp",
             "t.is_international",
             F.col("t.status").alias("transaction_status"),
-            F.col("w.watchlist_id").alias(
-                "watchlist_id",
-                metadata={STATE_METADATA: {"salts": salts, "hot": None if hot is None else [*hot]}},
-            ),
+            F.col("w.watchlist_id").alias("watchlist_id", metadata={STATE_METADATA: state}),
             "w.watch_type",
             "w.risk_level",
             "w.action",

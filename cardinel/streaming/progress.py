@@ -117,6 +117,6 @@ def late_rows(query: StreamingQuery) -> int:
 
 
 def state_rows(query: StreamingQuery) -> int:
-    """Rows in state after the last micro-batch."""
+    """Rows in state after the last micro-batch; 0 if they are not counted."""
     last = query.lastProgress
     return sum(operator.numRowsTotal for operator in last.stateOperators) if last else 0

@@ -13,7 +13,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from cardinel.session import STATE_METADATA, STATEFUL, settings
+from cardinel.session import STATE_METADATA, STATEFUL, UNCOUNTED, settings
 from cardinel.sources.paths import read_if_present
 
 # Take everything that is there, then stop. For a stream that keeps running
@@ -36,14 +36,18 @@ def append_to_table(
     partitions: int | None = None,
     table_format: str = "parquet",
     partition_by: Sequence[str] = (),
+    count_state: bool = True,
 ) -> StreamingQuery:
     """Start appending to a catalog table, from where the checkpoint left off.
 
     `partitions` is the number of state partitions of a stateful query, for as long as
-    its checkpoint lives; by default the session's shuffle partitions.
+    its checkpoint lives; by default the session's shuffle partitions. Without
+    `count_state`, its progress does not say how many rows are in state.
     """
     writer = _writer(df, checkpoint, trigger, partition_by).queryName(table).format(table_format)
-    return _start(df, lambda: writer.toTable(table), checkpoint, stateful, partitions)
+    return _start(
+        df, lambda: writer.toTable(table), checkpoint, stateful, partitions, count_state
+    )
 
 
 def append_to_path(
@@ -55,10 +59,11 @@ def append_to_path(
     partitions: int | None = None,
     table_format: str = "parquet",
     partition_by: Sequence[str] = (),
+    count_state: bool = True,
 ) -> StreamingQuery:
     """Start appending to a folder of files."""
     writer = _writer(df, checkpoint, trigger, partition_by).format(table_format)
-    return _start(df, lambda: writer.start(path), checkpoint, stateful, partitions)
+    return _start(df, lambda: writer.start(path), checkpoint, stateful, partitions, count_state)
 
 
 def finish(*queries: StreamingQuery) -> None:
@@ -90,6 +95,7 @@ def _start(
     checkpoint: str,
     stateful: bool,
     partitions: int | None,
+    count_state: bool,
 ) -> StreamingQuery:
     if not stateful:
         return start()
@@ -102,7 +108,8 @@ def _start(
         row.coalesce(1).write.text(_place(checkpoint))
     elif asked["match"] != kept["match"] or partitions not in (None, kept["partitions"]):
         raise StateChanged(f"{checkpoint} was begun with {kept}, not {asked}")
-    with settings(spark, STATEFUL | {PARTITIONS: str(kept["partitions"])}):
+    values = STATEFUL | {PARTITIONS: str(kept["partitions"])}
+    with settings(spark, values if count_state else values | UNCOUNTED):
         return start()
 
 

@@ -396,7 +396,10 @@ def card_alerts_stream(spark: SparkSession, folder: str) -> DataFrame:
         salts=16,
         hot=hot,
     )
-    finish(append_to_path(matches, f"{work}/data", f"{work}/checkpoint", stateful=True))
+    matched = append_to_path(
+        matches, f"{work}/data", f"{work}/checkpoint", stateful=True, count_state=False
+    )
+    finish(matched)
     arrived = spark.readStream.schema(matches.schema).parquet(f"{work}/data")
     alerts = alert_matches(arrived, silver_customers_table(spark, folder))
     return stored(alerts, "card_alerts").drop("alert_timestamp")

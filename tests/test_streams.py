@@ -211,6 +211,36 @@ def test_only_hot_cards_are_copied(spark, feed, listed, tmp_path):
     assert state_rows(query) == 120 + 50 + 15
 
 
+def test_a_matched_payment_is_written_to_state_once(spark, feed, listed, tmp_path):
+    """Its row and the count of its card's rows; the entry's too, and again as matched."""
+    listed.add(watchlist(spark, {"entity_id": "41"}))
+    feed.add(
+        transactions(
+            spark, *[{"transaction_id": f"T{i}", "card_number": "41"} for i in range(100)]
+        )
+    )
+    query = run(match_cards(feed.stream(), listed.stream()), tmp_path)
+    assert len(read(spark, tmp_path)) == 100
+    metrics = query.recentProgress[0].stateOperators[0].customMetrics
+    assert metrics["rocksdbPutCount"] == 2 * 100 + 3
+
+
+def test_state_that_is_not_counted_takes_fewer_lookups(spark, feed, listed, tmp_path):
+    """The same matches, also of rows from the run before, which was counted."""
+    lookups, matches = [], lambda: match_cards(feed.stream(), listed.stream())
+    listed.add(watchlist(spark, {"entity_id": "41"}))
+    for number, count_state in enumerate((True, False)):
+        rows = [{"transaction_id": f"T{number}-{i}", "card_number": "41"} for i in range(100)]
+        feed.add(transactions(spark, *rows))
+        places = f"{tmp_path}/out", f"{tmp_path}/checkpoint"
+        query = append_to_path(matches(), *places, stateful=True, count_state=count_state)
+        finish(query)
+        metrics = query.recentProgress[0].stateOperators[0].customMetrics
+        lookups.append(metrics["rocksdbGetCount"])
+    assert len(read(spark, tmp_path)) == 200
+    assert lookups[0] - lookups[1] >= 2 * 100
+
+
 def test_reports_of_more_than_a_hundred_batches_are_kept(spark, feed, tmp_path):
     """Over two runs; the query object itself remembers a hundred."""
 
