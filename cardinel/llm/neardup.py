@@ -227,8 +227,6 @@ def _cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
 
     Of the lists that two sets share, only the one of the smallest value pairs them.
     """
-    listed = lists.groupBy("node").agg(F.collect_set("value").alias("listed"))
-    lists = saved(lists.join(listed, "node"), "mixed-lists")
     on = (F.col("x.value") == F.col("y.value")) & (F.col("x.component") < F.col("y.component"))
     on &= _possible("x.", "y.", percent) & ~_apart_by_pivot("x.", "y.", percent)
     shared = F.array_intersect("x.listed", "y.listed")
@@ -316,22 +314,26 @@ def group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     lists = saved(lists.withColumn("component", F.col("node")), "rare-lists")
     # Each list's members with its pivot: links, and distances that rule out others.
     lists = saved(with_pivots(lists), "pivot-lists")
-    pairs = saved(_pairs(lists.filter("node <> pivot"), F.col("node"), F.col("pivot")), "pairs")
+    pairs = _pairs(lists.filter("node <> pivot"), F.col("node"), F.col("pivot"))
     found = saved(compared(pairs, texts, size, percent), "pivot-pairs")
-    lists = with_distances(lists, found)
-    links = found.filter("similar").select("a", "b")
-    groups = saved(components(links), "components")
+    # The first of these maps nodes to components, the others components to larger ones.
+    merges = [components(found.filter("similar"))]
+    lists = with_distances(_mixed(placed(lists, "component", merges)), found)
+    lists = saved(lists, "rare-lists")
     for step in (_second_pairs, _cross_pairs):
-        lists = _apart(lists, groups)
         if lists.isEmpty():
             break
-        pairs = estimated(saved(step(lists, percent), "pairs"), classes, percent)
+        pairs = estimated(step(lists, percent), classes, percent)
         found = saved(compared(pairs, texts, size, percent).filter("similar"), "new-links")
+        new = []
         if not found.isEmpty():
-            links = links.union(found.select("a", "b"))
-            groups = saved(components(links), "components")
-    least = classes.select("node", "_row").join(groups, "node", "left")
-    least = least.withColumn("component", F.coalesce("component", "node"))
+            ends = placed(placed(found.select("a", "b"), "a", merges), "b", merges)
+            new = [components(saved(ends, "links"))]
+        merges += new
+        if step is _second_pairs:
+            lists = saved(_with_listed(lists, placed(lists, "component", new)), "mixed-lists")
+    least = classes.select("node", "_row", F.col("node").alias("component"))
+    least = placed(least, "component", merges)
     # Components are told apart by their own node, as several can have one id, or none.
     best = least.groupBy("component").agg(F.min("_row").alias("_best"))
     nodes = least.join(best, "component").select("node", "_best")
@@ -351,13 +353,32 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_hash")
 
 
-def _apart(lists: DataFrame, groups: DataFrame) -> DataFrame:
+def placed(df: DataFrame, column: str, merges: list[DataFrame]) -> DataFrame:
+    """Nodes or components of a column replaced by the components they are in after these merges.
+
+    Merges of later steps are mostly few, and then Catalyst broadcasts them.
+    """
+    for merge in merges:
+        to = merge.select(F.col("node").alias("_from"), F.col("component").alias("_to"))
+        df = df.join(to, F.col(column) == F.col("_from"), "left")
+        df = df.withColumn(column, F.coalesce("_to", column)).drop("_from", "_to")
+    return df
+
+
+def _mixed(lists: DataFrame) -> DataFrame:
     """Lists whose members are not all in one component yet."""
-    own = lists.drop("component").join(groups, "node", "left")
-    own = own.withColumn("component", F.coalesce("component", "node"))
-    mixed = own.groupBy("value").agg(F.min("component").alias("_x"), F.max("component").alias("_y"))
-    mixed = mixed.filter("_x <> _y").select("value")
-    return saved(own.join(mixed, "value", "left_semi"), "rare-lists")
+    mixed = lists.groupBy("value").agg(F.min("component").alias("_x"), F.max("component").alias("_y"))
+    return lists.join(mixed.filter("_x <> _y").select("value"), "value", "left_semi")
+
+
+def _with_listed(before: DataFrame, lists: DataFrame) -> DataFrame:
+    """Lists that are still mixed, and the values each member is `listed` by.
+
+    The values of lists that were mixed before will do: all lists of two sets that are apart
+    are mixed still.
+    """
+    listed = before.groupBy("node").agg(F.collect_set("value").alias("listed"))
+    return _mixed(lists).join(listed, "node")
 
 
 def dedupe(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
