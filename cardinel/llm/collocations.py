@@ -8,8 +8,11 @@ positions at once, counts the accepting states, and Spark adds the tasks' counts
 What is broadcast is bounded by `PHRASES` and `CANDIDATES`. Where more candidates are
 possible than that (all pairs of frequent words, for one), only those that occur are
 counted: positions at which two frequent phrases overlap, found by the trie of these.
-Where the frequent phrases themselves are too many to broadcast, phrases are counted by
-a shuffle of all of them. The counts are exact and the same in each way.
+Where the frequent phrases themselves are too many for a trie, a sieve of bits takes its
+place: what overlaps there is counted as packed word codes. A sieve lets some phrases pass
+that are not frequent, which are then counted in vain. Where the frequent words are over
+`WORDS`, phrases are counted by a shuffle of all of them as text. The counts are exact and
+the same in each way.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 
 from cardinel.llm import double_array
 from cardinel.llm.common import lower_ascii, saved
-from cardinel.llm.text_arrays import LOWER, pieces
+from cardinel.llm.text_arrays import LOWER, mix, pieces
 
 UNKNOWN = "und"
 # Bytes of text that are split at once, and word codes that are counted at once.
@@ -35,10 +38,16 @@ ROW_CODES = 1 << 16
 PASS_CODES = 1 << 20
 # Different phrases that a task holds before it hands their counts on.
 HELD = 1 << 21
-# What may be broadcast: frequent phrases of a length, and candidates of a trie.
+# What may be broadcast: frequent words, and in a trie frequent phrases of a length or candidates.
+WORDS = 2_000_000
 PHRASES = 1_000_000
 CANDIDATES = 500_000
+# A sieve has at least this many bits a phrase, up to 2 ** SIEVE_BITS in all.
+PHRASE_BITS = 32
+SIEVE_BITS = 28
+PART_BITS = 18
 
+PHRASE_SCHEMA = "lang string, words array<string>, f long"
 PIECE_ENDS = r"[.,;:!?\x0A-\x0D]"
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = 1
@@ -173,12 +182,18 @@ def _passes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield np.concatenate(held)
 
 
-def _batch(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for i in range(0, len(keys), PASS_CODES):
-        yield pa.record_batch(
-            [pa.array(keys[i : i + PASS_CODES], pa.int64()), pa.array(counts[i : i + PASS_CODES], pa.int64())],
-            names=["key", "n"],
-        )
+def _key_names(count: int) -> list[str]:
+    return [f"key{i}" for i in range(count)]
+
+
+def _key_schema(count: int) -> str:
+    return ", ".join(f"{name} long" for name in [*_key_names(count), "n"])
+
+
+def _batch(keys: list[np.ndarray], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    names = [*_key_names(len(keys)), "n"]
+    for i in range(0, len(counts), PASS_CODES):
+        yield pa.record_batch([pa.array(x[i : i + PASS_CODES], pa.int64()) for x in (*keys, counts)], names=names)
 
 
 def _count_accepted(shared: Broadcast, size: int):
@@ -189,7 +204,7 @@ def _count_accepted(shared: Broadcast, size: int):
         for codes in _passes(batches):
             counts += np.bincount(trie.accepted(codes)[1], minlength=size)
         found = np.flatnonzero(counts)
-        yield from _batch(found, counts[found])
+        yield from _batch([found], counts[found])
 
     return run
 
@@ -208,9 +223,9 @@ def _count_overlaps(shared: Broadcast, length: int, words: int):
             own, n = np.unique(number[at] * words + codes[at + length], return_counts=True)
             keys, counts = _added(np.r_[keys, own], np.r_[counts, n])
             if len(keys) > HELD:
-                yield from _batch(keys, counts)
+                yield from _batch([keys], counts)
                 keys, counts = keys[:0], counts[:0]
-        yield from _batch(keys, counts)
+        yield from _batch([keys], counts)
 
     return run
 
@@ -222,6 +237,128 @@ def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def _places(words: int) -> tuple[int, int]:
+    """Bits of a word's code, and codes in a key of 63 bits."""
+    bits = max(1, (words - 1).bit_length())
+    return bits, 63 // bits
+
+
+def _keys_for(length: int, words: int) -> int:
+    return -(-length // _places(words)[1])
+
+
+def packed(phrase: list[np.ndarray], words: int) -> list[np.ndarray]:
+    """Keys of phrases that are given by the codes at each of their places."""
+    bits, many = _places(words)
+    keys = []
+    for i in range(0, len(phrase), many):
+        key = phrase[i].astype(np.int64)
+        for code in phrase[i + 1 : i + many]:
+            key = (key << bits) | code
+        keys.append(key)
+    return keys
+
+
+def unpacked(keys: list[np.ndarray], length: int, words: int) -> list[np.ndarray]:
+    bits, many = _places(words)
+    phrase = []
+    for i, key in enumerate(keys):
+        last = min(many, length - i * many) - 1
+        phrase += [(key >> (bits * (last - k))) & ((1 << bits) - 1) for k in range(last + 1)]
+    return phrase
+
+
+def _hashed(columns: list[np.ndarray]) -> np.ndarray:
+    found = np.zeros(len(columns[0]), np.uint64)
+    for column in columns:
+        found = mix((found << np.uint64(1)) ^ (column.astype(np.uint64) + np.uint64(1)))
+    return found
+
+
+@dataclass(frozen=True)
+class Sieve:
+    """Bits at the hashes of phrases: it lets all of these pass, and few others.
+
+    It has a power of two of bits. However full it is, it takes nothing from the counts.
+    """
+
+    bits: np.ndarray
+
+    @staticmethod
+    def slots(phrase: list[np.ndarray], size: int) -> np.ndarray:
+        return (_hashed(phrase) & np.uint64(size - 1)).astype(np.int64)
+
+    def passed(self, codes: np.ndarray, length: int) -> np.ndarray:
+        """Whether a phrase that passes begins at each place, and one after the last."""
+        out = np.zeros(len(codes) + 1, bool)
+        count = len(codes) - length + 1
+        if count <= 0:
+            return out
+        inside = np.ones(count, bool)
+        for k in range(length):
+            inside &= codes[k : k + count] >= 0
+        at = np.flatnonzero(inside)
+        slot = self.slots([codes[at + k] for k in range(length)], 8 * len(self.bits))
+        out[at] = (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1
+        return out
+
+
+def _count_sieved(shared: Broadcast, length: int, words: int):
+    """How often phrases occur whose two parts pass the sieve of those of one word less."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sieve, held, size = shared.value, [], 0
+        for codes in _passes(batches):
+            passed = sieve.passed(codes, length - 1)
+            at = np.flatnonzero(passed[:-1] & passed[1:])
+            held.append(packed([codes[at + k] for k in range(length)], words))
+            size += len(at)
+            if size > HELD:
+                yield from _batch(*_grouped(held))
+                held, size = [], 0
+        if size:
+            yield from _batch(*_grouped(held))
+
+    return run
+
+
+def _grouped(held: list[list[np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Keys and their counts. Keys of one hash may come more than once, with parts of the count."""
+    keys = [np.concatenate(column) for column in zip(*held, strict=True)]
+    order = np.argsort(keys[0] if len(keys) == 1 else _hashed(keys))
+    keys = [key[order] for key in keys]
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for key in keys:
+        new[1:] |= key[1:] != key[:-1]
+    first = np.flatnonzero(new)
+    return [key[first] for key in keys], np.diff(np.r_[first, len(order)])
+
+
+def _sieve(found: DataFrame, count: int, length: int, words: int) -> Sieve:
+    """The sieve of a table of keys, made in parts by the executors."""
+    size = 1 << max(PART_BITS, min(SIEVE_BITS, (PHRASE_BITS * count).bit_length()))
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [column.to_numpy() for column in batch.columns]
+            slot = Sieve.slots(unpacked(keys, length, words), size)
+            yield pa.record_batch([pa.array(slot >> PART_BITS), pa.array(slot)], names=["part", "slot"])
+
+    def part(rows: pa.Table) -> pa.Table:
+        bits = np.zeros(1 << PART_BITS, bool)
+        bits[rows["slot"].to_numpy() & ((1 << PART_BITS) - 1)] = True
+        own = pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())
+        return pa.table([rows["part"].slice(0, 1).combine_chunks(), own], names=["part", "bits"])
+
+    found = found.drop("n").mapInArrow(slots, "part long, slot long")
+    parts = found.groupBy("part").applyInArrow(part, "part long, bits binary").toArrow()
+    bits = np.zeros((size >> PART_BITS, 1 << (PART_BITS - 3)), np.uint8)
+    for i, own in zip(parts["part"].to_pylist(), parts["bits"], strict=True):
+        bits[i] = np.frombuffer(own.as_buffer(), np.uint8)
+    return Sieve(bits.ravel())
+
+
 def candidates(phrases: np.ndarray, language: np.ndarray, most: int) -> np.ndarray | None:
     """Phrases of one more word whose two parts are among the given; None if over `most`."""
     ends = np.column_stack([language, phrases[:, 1:]])
@@ -278,52 +415,96 @@ def _longer(
 ) -> list[DataFrame]:
     """The levels from two words on."""
     levels: list[DataFrame] = []
-
-    def by_shuffle(first: int) -> list[DataFrame]:
-        rest = range(first, longest + 1)
-        return [saved(shuffled(texts, k, least), "phrases-shuffled") for k in rest]
-
-    if single.count() > PHRASES:
-        return by_shuffle(2)
+    if single.count() > WORDS:
+        return [saved(shuffled(texts, k, least), "phrases-shuffled") for k in range(2, longest + 1)]
     vocabulary = Vocabulary.of(single.orderBy("lang", F.desc("n"), "word").toArrow())
     shared = spark.sparkContext.broadcast(vocabulary)
     codes = saved(texts.mapInArrow(_encode(shared), "codes binary"), "phrase-codes")
     shared.unpersist()
-    phrases, size = np.arange(len(vocabulary))[:, None], len(vocabulary)
+    # The phrases of a level, or where they are too many a sieve of them; all words pass the first.
+    phrases, size, sieve = np.arange(len(vocabulary))[:, None], len(vocabulary), None
+    if size > PHRASES:
+        sieve = Sieve(np.full(1, 255, np.uint8))
     for length in range(2, longest + 1):
-        if len(phrases) == 0:
+        # What the counted keys are numbers of; None where they are packed words.
+        known, keys = None, 1
+        if sieve is not None:
+            used = spark.sparkContext.broadcast(sieve)
+            run, keys = _count_sieved(used, length, size), _keys_for(length, size)
+        elif len(phrases) == 0:
             break
-        asked = candidates(phrases, vocabulary.languages(phrases[:, 0]), CANDIDATES)
-        if asked is not None:
-            trie = spark.sparkContext.broadcast(double_array.build(asked, size))
-            run = _count_accepted(trie, len(asked))
+        elif (asked := candidates(phrases, vocabulary.languages(phrases[:, 0]), CANDIDATES)) is not None:
+            used, known = spark.sparkContext.broadcast(double_array.build(asked, size)), asked
+            run = _count_accepted(used, len(asked))
         else:
-            trie = spark.sparkContext.broadcast(double_array.build(phrases, size))
-            run = _count_overlaps(trie, length - 1, size)
-        found = codes.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+            used, known = spark.sparkContext.broadcast(double_array.build(phrases, size)), phrases
+            run = _count_overlaps(used, length - 1, size)
+        found = codes.mapInArrow(run, _key_schema(keys)).groupBy(*_key_names(keys)).agg(F.sum("n").alias("n"))
         found = saved(found.filter(F.col("n") >= least), "phrase-counts")
-        trie.unpersist()
-        if found.count() > PHRASES:
-            return levels + by_shuffle(length)
-        rows = found.toArrow()
-        key, n = rows["key"].to_numpy(), rows["n"].to_numpy()
-        if asked is not None:
-            phrases = asked[key]
+        used.unpersist()
+        count = found.count()
+        if count > PHRASES:
+            if known is not None:
+                named = spark.sparkContext.broadcast(known.astype(np.int32))
+                run, keys = _repacked(named, length, size), _keys_for(length, size)
+                found = saved(found.mapInArrow(run, _key_schema(keys)), "phrase-keys")
+                named.unpersist()
+            phrases, sieve = None, _sieve(found, count, length, size)
+            levels.append(saved(found.mapInArrow(_spelled(shared, length), PHRASE_SCHEMA), "phrases"))
+            shared.unpersist()
         else:
-            phrases = np.column_stack([phrases[key // size], key % size])
-        levels.append(_decoded(spark, vocabulary, phrases, n))
+            rows = found.toArrow()
+            phrases, sieve = _phrases_of([x.to_numpy() for x in rows.columns[:-1]], known, length, size), None
+            levels.append(_decoded(spark, vocabulary, phrases, rows["n"].combine_chunks()))
     return levels
 
 
-def _decoded(spark: SparkSession, vocabulary: Vocabulary, phrases: np.ndarray, n: np.ndarray) -> DataFrame:
+def _phrases_of(keys: list[np.ndarray], known: np.ndarray | None, length: int, words: int) -> np.ndarray:
+    """Phrases of keys that are packed words, numbers of known phrases, or these and a last word."""
+    if known is None:
+        return np.column_stack(unpacked(keys, length, words))
+    if known.shape[1] == length:
+        return known[keys[0]]
+    return np.column_stack([known[keys[0] // words], keys[0] % words])
+
+
+def _repacked(shared: Broadcast, length: int, words: int):
+    """Keys that are numbers of known phrases as packed words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            phrases = _phrases_of([batch.column(0).to_numpy()], shared.value, length, words)
+            yield from _batch(packed(list(phrases.T), words), batch.column(1).to_numpy())
+
+    return run
+
+
+def _spelled(shared: Broadcast, length: int):
+    """Keys of packed words as phrases."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary: Vocabulary = shared.value
+        spelling = vocabulary.all_words
+        for batch in batches:
+            *keys, n = batch.columns
+            phrases = _phrases_of([x.to_numpy() for x in keys], None, length, len(spelling))
+            yield from _spelling(vocabulary, spelling, phrases, n).to_batches()
+
+    return run
+
+
+def _spelling(vocabulary: Vocabulary, words: pa.Array, phrases: np.ndarray, n: pa.Array) -> pa.Table:
     names = pa.array([*vocabulary.first], pa.string())
     count, length = phrases.shape
-    own = vocabulary.all_words.take(pa.array(phrases.ravel())).cast(pa.string())
+    own = words.take(pa.array(phrases.ravel())).cast(pa.string())
     lists = pa.ListArray.from_arrays(pa.array(np.arange(0, count * length + 1, length), pa.int32()), own)
     langs = names.take(pa.array(vocabulary.languages(phrases[:, 0])))
-    rows = pa.table({"lang": langs, "words": lists, "f": pa.array(n, pa.int64())})
-    schema = "lang string, words array<string>, f long"
-    return saved(spark.createDataFrame(rows, schema), "phrases")
+    return pa.table({"lang": langs, "words": lists, "f": n})
+
+
+def _decoded(spark: SparkSession, vocabulary: Vocabulary, phrases: np.ndarray, n: pa.Array) -> DataFrame:
+    rows = _spelling(vocabulary, vocabulary.all_words, phrases, n)
+    return saved(spark.createDataFrame(rows, PHRASE_SCHEMA), "phrases")
 
 
 def scored(phrases: DataFrame, totals: DataFrame, share: int = 100) -> DataFrame:

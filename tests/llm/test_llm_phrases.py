@@ -75,6 +75,63 @@ def test_phrases_equal_plain_counting(spark, monkeypatch, way, least, share, top
     assert sorted(map(tuple, got.collect())) == want and len(want) > 5
 
 
+# Bounds for words, phrases, candidates and bits of a sieve.
+LARGE = {
+    "sieve": (10**6, 0, 0, 28),
+    "sieve then trie": (10**6, 60, 10**6, 28),
+    "sieve after candidates": (10**6, 40, 10**6, 28),
+    "sieve after overlaps": (10**6, 90, 0, 28),
+    "full sieve": (10**6, 0, 0, 0),
+    "text": (0, 0, 0, 28),
+}
+
+
+@pytest.mark.parametrize("way", LARGE)
+@pytest.mark.parametrize("least,share,top", [(12, 100, 2000), (3, 60, 7)])
+def test_phrases_beyond_the_bounds_equal_plain_counting(spark, monkeypatch, way, least, share, top):
+    docs, texts = corpus(least), []
+    for name, bound in zip(("WORDS", "PHRASES", "CANDIDATES", "SIEVE_BITS"), LARGE[way], strict=True):
+        monkeypatch.setattr(collocations, name, bound)
+    if way == "full sieve":
+        monkeypatch.setattr(collocations, "_sieve", lambda *_: collocations.Sieve(np.full(1, 255, np.uint8)))
+    counted_as_text = collocations.shuffled
+    monkeypatch.setattr(collocations, "shuffled", lambda *args: texts.append(args) or counted_as_text(*args))
+    df = spark.createDataFrame(docs, SCHEMA).repartition(3)
+    got = collocations.mine(df, least, share=share, top=top)
+    want = mined(docs, least, share=share, top=top)
+    assert sorted(map(tuple, got.collect())) == want and len(want) > 5
+    assert bool(texts) == (way == "text")
+
+
+def test_many_frequent_phrases_are_not_shuffled_as_text(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "PHRASES", 5)
+    docs = spark.createDataFrame(corpus(3), SCHEMA)
+    monkeypatch.setattr(collocations, "shuffled", lambda *_: pytest.fail("all phrases as text"))
+    phrases, _ = collocations.counted(docs, 3, 5)
+    assert phrases.filter(F.size("words") == 2).count() > 5
+
+
+@pytest.mark.parametrize("words", [1, 2, 3, 2**20, 2**21, 2**21 + 1, 2**31])
+def test_packed_words_come_back(words):
+    draw = np.random.default_rng(1)
+    for length in range(1, 6):
+        phrase = list(draw.integers(0, words, (length, 40)))
+        phrase[0][0], phrase[-1][-1] = words - 1, words - 1
+        keys = collocations.packed(phrase, words)
+        assert all((key >= 0).all() for key in keys)
+        assert np.array_equal(collocations.unpacked(keys, length, words), phrase)
+
+
+def test_keys_of_one_hash_are_counted_apart(monkeypatch):
+    monkeypatch.setattr(collocations, "_hashed", lambda columns: np.zeros(len(columns[0]), np.uint64))
+    held = [[np.array([1, 2, 1]), np.array([5, 5, 5])], [np.array([2, 1]), np.array([5, 6])]]
+    keys, n = collocations._grouped(held)
+    totals = Counter()
+    for a, b, count in zip(*keys, n, strict=True):
+        totals[a, b] += count
+    assert totals == {(1, 5): 2, (2, 5): 2, (1, 6): 1}
+
+
 def test_no_documents(spark):
     assert collocations.mine(spark.createDataFrame([], SCHEMA)).count() == 0
     one = spark.createDataFrame([(1, "once only", "en")], SCHEMA)
