@@ -35,13 +35,15 @@ UNKNOWN = "und"
 # Bytes of text that are split at once, and word codes that are counted at once.
 CHUNK_BYTES = 6_000_000
 ROW_CODES = 1 << 16
-PASS_CODES = 1 << 20
+PASS_CODES = 1 << 19
 # Different phrases that a task holds before it hands their counts on.
-HELD = 1 << 21
+HELD = 1 << 20
 # What may be broadcast: frequent words, and in a trie frequent phrases of a length or candidates.
 WORDS = 2_000_000
 PHRASES = 1_000_000
 CANDIDATES = 500_000
+# Digits of all words in a trie, which the driver builds in up to 110 bytes for each.
+DIGITS = 3_000_000
 # A sieve has at least this many bits a phrase, up to 2 ** SIEVE_BITS in all.
 PHRASE_BITS = 32
 SIEVE_BITS = 28
@@ -237,6 +239,11 @@ def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def _room(length: int, words: int) -> int:
+    """Phrases that a trie may have."""
+    return DIGITS // (length * double_array.digits_for(words))
+
+
 def _places(words: int) -> tuple[int, int]:
     """Bits of a word's code, and codes in a key of 63 bits."""
     bits = max(1, (words - 1).bit_length())
@@ -361,10 +368,11 @@ def _sieve(found: DataFrame, count: int, length: int, words: int) -> Sieve:
 
 def candidates(phrases: np.ndarray, language: np.ndarray, most: int) -> np.ndarray | None:
     """Phrases of one more word whose two parts are among the given; None if over `most`."""
-    ends = np.column_stack([language, phrases[:, 1:]])
-    begins = np.column_stack([language, phrases[:, :-1]])
-    _, group = np.unique(np.concatenate([ends, begins]), axis=0, return_inverse=True)
-    a, b = np.split(group.ravel(), 2)
+    _, group = np.unique(np.r_[language, language], return_inverse=True)
+    for end, begin in zip(phrases.T[1:], phrases.T[:-1], strict=True):
+        own = np.r_[end, begin]
+        _, group = np.unique(group * (own.max(initial=0) + 1) + own, return_inverse=True)
+    a, b = np.split(group, 2)
     many = np.bincount(b, minlength=int(group.max(initial=0)) + 1)
     sizes = many[a]
     if sizes.sum() > most:
@@ -423,17 +431,18 @@ def _longer(
     shared.unpersist()
     # The phrases of a level, or where they are too many a sieve of them; all words pass the first.
     phrases, size, sieve = np.arange(len(vocabulary))[:, None], len(vocabulary), None
-    if size > PHRASES:
+    if size > min(PHRASES, _room(1, size)):
         sieve = Sieve(np.full(1, 255, np.uint8))
     for length in range(2, longest + 1):
         # What the counted keys are numbers of; None where they are packed words.
         known, keys = None, 1
+        most = min(CANDIDATES, _room(length, size))
         if sieve is not None:
             used = spark.sparkContext.broadcast(sieve)
             run, keys = _count_sieved(used, length, size), _keys_for(length, size)
         elif len(phrases) == 0:
             break
-        elif (asked := candidates(phrases, vocabulary.languages(phrases[:, 0]), CANDIDATES)) is not None:
+        elif (asked := candidates(phrases, vocabulary.languages(phrases[:, 0]), most)) is not None:
             used, known = spark.sparkContext.broadcast(double_array.build(asked, size)), asked
             run = _count_accepted(used, len(asked))
         else:
@@ -443,13 +452,14 @@ def _longer(
         found = saved(found.filter(F.col("n") >= least), "phrase-counts")
         used.unpersist()
         count = found.count()
-        if count > PHRASES:
+        if count > min(PHRASES, _room(length, size)):
             if known is not None:
                 named = spark.sparkContext.broadcast(known.astype(np.int32))
                 run, keys = _repacked(named, length, size), _keys_for(length, size)
                 found = saved(found.mapInArrow(run, _key_schema(keys)), "phrase-keys")
                 named.unpersist()
-            phrases, sieve = None, _sieve(found, count, length, size)
+            if length < longest:
+                phrases, sieve = None, _sieve(found, count, length, size)
             levels.append(saved(found.mapInArrow(_spelled(shared, length), PHRASE_SCHEMA), "phrases"))
             shared.unpersist()
         else:

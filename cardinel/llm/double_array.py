@@ -66,10 +66,12 @@ def build(phrases: np.ndarray, words: int) -> DoubleArray:
     """
     count, length = phrases.shape
     digits = digits_for(words)
-    places = BITS * np.arange(digits - 1, -1, -1)
-    symbols = ((phrases[:, :, None] >> places) & (RADIX - 1)).reshape(count, length * digits)
-    order = np.lexsort(symbols.T[::-1]) if count else np.zeros(0, np.int64)
-    symbols = symbols[order].astype(np.int32)
+    # Phrases in the order of their words are in that of their digits.
+    order = np.lexsort(phrases.T[::-1]) if count else np.zeros(0, np.int64)
+    symbols = np.zeros((length * digits, count), np.uint8)
+    for k in range(length * digits):
+        places = BITS * (digits - 1 - k % digits)
+        symbols[k] = (phrases[order, k // digits] >> places) & (RADIX - 1)
 
     # Nodes level by level: `first` marks the phrases that begin a node of a level.
     new = np.zeros(count, bool)
@@ -77,15 +79,15 @@ def build(phrases: np.ndarray, words: int) -> DoubleArray:
         new[0] = True
     node = np.zeros(count, np.int64)
     parents, letters, total = [], [], 1
-    for k in range(symbols.shape[1]):
-        new[1:] |= symbols[1:, k] != symbols[:-1, k]
+    for own in symbols:
+        new[1:] |= own[1:] != own[:-1]
         first = np.flatnonzero(new)
         parents.append(node[first])
-        letters.append(symbols[first, k])
+        letters.append(own[first])
         node = total + np.cumsum(new) - 1
         total += len(first)
     parent = np.concatenate([*parents, np.zeros(0, np.int64)])
-    letter = np.concatenate([*letters, np.zeros(0, np.int32)]).astype(np.int64)
+    letter = np.concatenate([*letters, np.zeros(0, np.uint8)]).astype(np.int64)
     base, size = _placed(parent, letter, total)
 
     # Slot 0 is the root; other nodes are where their parent's base and letter lead.

@@ -78,9 +78,8 @@ def test_phrases_equal_plain_counting(spark, monkeypatch, way, least, share, top
 # Bounds for words, phrases, candidates and bits of a sieve.
 LARGE = {
     "sieve": (10**6, 0, 0, 28),
-    "sieve then trie": (10**6, 60, 10**6, 28),
-    "sieve after candidates": (10**6, 40, 10**6, 28),
-    "sieve after overlaps": (10**6, 90, 0, 28),
+    "sieve after candidates": (10**6, 60, 10**6, 28),
+    "sieve between tries": (10**6, 90, 0, 28),
     "full sieve": (10**6, 0, 0, 0),
     "text": (0, 0, 0, 28),
 }
@@ -103,6 +102,16 @@ def test_phrases_beyond_the_bounds_equal_plain_counting(spark, monkeypatch, way,
     assert bool(texts) == (way == "text")
 
 
+def test_a_trie_has_no_more_digits_than_its_bound(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "DIGITS", 60)
+    built, build = [], double_array.build
+    monkeypatch.setattr(double_array, "build", lambda phrases, size: built.append(phrases.size) or build(phrases, size))
+    docs = corpus(4)
+    got = collocations.mine(spark.createDataFrame(docs, SCHEMA), 4)
+    assert sorted(map(tuple, got.collect())) == mined(docs, 4)
+    assert built and all(size <= 60 for size in built)
+
+
 def test_many_frequent_phrases_are_not_shuffled_as_text(spark, monkeypatch):
     monkeypatch.setattr(collocations, "PHRASES", 5)
     docs = spark.createDataFrame(corpus(3), SCHEMA)
