@@ -37,7 +37,9 @@ CHUNK_BYTES = 6_000_000
 ROW_CODES = 1 << 16
 PASS_CODES = 1 << 19
 # Different phrases that a task holds before it hands their counts on.
-HELD = 1 << 20
+HELD = 1 << 21
+# Occurrences that are gathered before they are added to these.
+GATHERED = 1 << 20
 # What may be broadcast: frequent words, and in a trie frequent phrases of a length or candidates.
 WORDS = 2_000_000
 PHRASES = 1_000_000
@@ -215,18 +217,25 @@ def _count_overlaps(shared: Broadcast, length: int, words: int):
     """How often two phrases of a trie overlap in all but a word: number and last word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = shared.value
+        trie, held, size = shared.value, [], 0
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for codes in _passes(batches):
             number = np.full(len(codes) + 1, -1, np.int64)
             at, found = trie.accepted(codes)
             number[at] = found
             at = at[number[at + 1] >= 0]
-            own, n = np.unique(number[at] * words + codes[at + length], return_counts=True)
+            held.append(number[at] * words + codes[at + length])
+            size += len(at)
+            if size < GATHERED:
+                continue
+            own, n = np.unique(np.concatenate(held), return_counts=True)
             keys, counts = _added(np.r_[keys, own], np.r_[counts, n])
+            held, size = [], 0
             if len(keys) > HELD:
                 yield from _batch([keys], counts)
                 keys, counts = keys[:0], counts[:0]
+        own, n = np.unique(np.concatenate([keys[:0], *held]), return_counts=True)
+        keys, counts = _added(np.r_[keys, own], np.r_[counts, n])
         yield from _batch([keys], counts)
 
     return run
